@@ -15,14 +15,17 @@ _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 def render_chat(messages: Column, add_generation: bool = True) -> Column:
-    """Render a message list as one string, optionally opening the assistant turn."""
+    """Render a message list as one string, optionally opening the assistant turn.
+
+    A message without role or content makes the whole NULL, rather than vanish.
+    """
     turns = F.transform(
         messages,
         lambda m: F.concat(
             F.lit(_HEAD_OPEN), m["role"], F.lit(_HEAD_CLOSE), m["content"], F.lit(_END_OF_TURN)
         ),
     )
-    body = F.array_join(turns, "")
+    body = F.when(~F.exists(turns, lambda t: t.isNull()), F.array_join(turns, ""))
     if not add_generation:
         return body
     return F.concat(body, F.lit(_HEAD_OPEN + "assistant" + _HEAD_CLOSE))

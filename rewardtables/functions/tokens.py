@@ -19,18 +19,21 @@ def fill_empty(ids: Column, eos_id: int) -> Column:
     return F.when(_filled(ids), ids).otherwise(F.array(F.lit(eos_id)))
 
 
-def response_ids(json: Column, eos_id: int) -> Column:
-    """Sequences of a logged response in either layout; never empty, nor any of them.
+def parse_response(json: Column) -> Column:
+    """A logged response as a struct with both layouts' fields."""
+    return F.from_json(json, RESPONSE_SCHEMA)
+
+
+def response_ids(parsed: Column, eos_id: int) -> Column:
+    """Sequences of a parsed response in either layout; never empty, nor any of them.
 
     A non-empty ``completion_ids`` wins, else ``outputs[*].token_ids``; a response
     with neither gives ``[[eos]]``.
     """
-    parsed = F.from_json(json, RESPONSE_SCHEMA)
-    direct = parsed["completion_ids"]
-    nested = F.transform(parsed["outputs"], lambda o: o["token_ids"])
+    direct, outputs = parsed["completion_ids"], parsed["outputs"]
     chosen = (
         F.when(_filled(direct), direct)
-        .when(_filled(nested), nested)
+        .when(_filled(outputs), F.transform(outputs, lambda o: o["token_ids"]))
         .otherwise(F.array(F.array(F.lit(eos_id))))
     )
     return F.transform(chosen, lambda ids: fill_empty(ids, eos_id))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rewardtables.constants import BAND_ORDINALS, INST_CLOSE
 from rewardtables.functions.bands import ordinal_of
 from rewardtables.functions.text import after_marker
+from rewardtables.operators.literals import literal_rows
 
 
 def only_task(df: DataFrame, flag: str = "is_grpo_task") -> DataFrame:
@@ -62,7 +63,7 @@ def _with_empty_groups(cells: DataFrame, by: list[str], groups) -> DataFrame:
     """Add a zero cell for each expected group, so that one without rows still shows up."""
     rows = [(*([g] if isinstance(g, str) else g), None, None, 0) for g in groups]
     schema = ", ".join(f"`{b}` STRING" for b in by) + ", gt STRING, pred STRING, n BIGINT"
-    return cells.unionByName(cells.sparkSession.createDataFrame(rows, schema))
+    return cells.unionByName(literal_rows(cells.sparkSession, rows, schema))
 
 
 def band_metrics(
@@ -93,9 +94,13 @@ def metrics_from_confusion(
 ) -> DataFrame:
     """The metrics of ``band_metrics`` from confusion counts."""
     by = [by] if isinstance(by, str) else list(by)
-    n = F.col("n").cast("double")
-    g = ordinal_of(F.col(band_type), F.col("gt"), ordinals).cast("double")
-    p = ordinal_of(F.col(band_type), F.col("pred"), ordinals).cast("double")
+    n, g, p = F.col("n").cast("double"), F.col("g"), F.col("p")
+    cells = cells.withColumns(
+        {
+            "g": ordinal_of(F.col(band_type), F.col("gt"), ordinals).cast("double"),
+            "p": ordinal_of(F.col(band_type), F.col("pred"), ordinals).cast("double"),
+        }
+    )
     hit = (F.col("gt") == F.col("pred")).cast("double")
     mapped = g.isNotNull() & p.isNotNull()
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rewardtables.constants import BAND_DISTRIBUTIONS, CONFIDENCE, DRAWS_PER_PREDICTION
 from rewardtables.functions.bands import lookup
 from rewardtables.functions.hashing import digest, standard_normal
+from rewardtables.operators.literals import literal_rows
 
 Distributions = Mapping[str, tuple[float, float]]
 
@@ -81,7 +82,7 @@ def var_cvar_mixture(
     counts = _band_counts(df, band_col, dist)
     total = sum(counts.values())
     if total == 0:
-        return spark.createDataFrame([(None, None, 0)], _RESULT)
+        return literal_rows(spark, [(None, None, 0)], _RESULT)
     var = _mixture_quantile(1.0 - confidence, counts, dist)
     mass = loss = 0.0
     for band, n in counts.items():
@@ -94,7 +95,7 @@ def var_cvar_mixture(
         elif mean <= var:
             mass += n
             loss += n * mean
-    return spark.createDataFrame([(var, loss / mass, total)], _RESULT)
+    return literal_rows(spark, [(var, loss / mass, total)], _RESULT)
 
 
 def simulated_draws(
@@ -135,12 +136,18 @@ def _tail(values: DataFrame, low: float, high: float, first: int, second: int) -
     are counted per distinct value, both with map-side partial sums; the window
     then runs over the few distinct values. One row: the two values, each with
     the count and sum of all values up to it; NULL where it lies outside.
+
+    Values above ``high`` are one more group until then, not filtered out first:
+    a filter would be pushed below the column and compute each draw twice.
     """
-    inside = F.when(F.col("draw") >= F.lit(low), F.col("draw"))
+    draw = F.col("draw")
     groups = (
-        values.where(F.col("draw") <= F.lit(high))
-        .groupBy(inside.alias("v"))
+        values.groupBy(
+            (draw > F.lit(high)).alias("above"),
+            F.when((draw >= F.lit(low)) & (draw <= F.lit(high)), draw).alias("v"),
+        )
         .agg(F.count(F.lit(1)).alias("n"), F.sum("draw").alias("s"))
+        .where(~F.col("above"))
     )
     upto = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -186,7 +193,7 @@ def var_cvar(
     counts = _band_counts(df, band_col, dist)
     predictions = sum(counts.values())
     if predictions == 0:
-        return spark.createDataFrame([(None, None, 0)], _RESULT)
+        return literal_rows(spark, [(None, None, 0)], _RESULT)
     total = predictions * draws
     p = 1.0 - confidence
     position = (total - 1) * p
@@ -206,4 +213,4 @@ def var_cvar(
     var = a + (b - a) * (position - first)
     end = "second" if var >= b else "first"
     cvar = row[f"cum_s_{end}"] / row[f"cum_n_{end}"]
-    return spark.createDataFrame([(var, cvar, predictions)], _RESULT)
+    return literal_rows(spark, [(var, cvar, predictions)], _RESULT)

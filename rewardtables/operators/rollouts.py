@@ -39,7 +39,21 @@ def normalise_responses(
     df: DataFrame, json_col: str, eos_id: int, out: str = "completion_ids"
 ) -> DataFrame:
     """Add the token sequences of a logged response, whichever layout it has."""
-    return df.withColumn(out, tokens.response_ids(F.col(json_col), eos_id))
+    # a column of its own, so that each document is parsed once
+    parsed = df.withColumn("__parsed", tokens.parse_response(F.col(json_col)))
+    return parsed.withColumn(out, tokens.response_ids(F.col("__parsed"), eos_id)).drop("__parsed")
+
+
+def explode_sequences(
+    df: DataFrame, ids_col: str = "completion_ids", position: str = "pos", out: str = "seq"
+) -> DataFrame:
+    """One row per sequence of a normalised response, in place of the array column.
+
+    The outer form: those arrays are never empty, and the inner form's inferred
+    filter would be pushed below the JSON parsing and parse again.
+    """
+    others = [c for c in df.columns if c != ids_col]
+    return df.select(*others, F.posexplode_outer(ids_col).alias(position, out))
 
 
 def pad_batch(

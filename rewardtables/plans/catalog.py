@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardtables.functions import bands, chat, parse, rewards, text, tokens
+from rewardtables.constants import BAND_ORDINALS, RISK_LEVELS
+from rewardtables.functions import bands, chat, rewards, text, tokens
 from rewardtables.operators import (
     folds,
     labels,
     metrics,
+    predictions,
     prompts,
     risk,
     rollouts,
@@ -191,15 +193,18 @@ def benchmark_exact_match_all(spark, sf_dir):
 # --- predictions and band metrics ---------------------------------------------
 
 
+FIELDS = {
+    "pred_ret_1y": ("returns_1y", BAND_ORDINALS["returns"]),
+    "pred_vol_1y": ("volatility_1y", BAND_ORDINALS["volatility"]),
+}
+
+
 def _parsed(df: DataFrame) -> DataFrame:
-    completion = F.col("completion")
-    return df.select(
-        "doc_id",
+    truth = [
         F.col("ground_truth_returns_1y").alias("gt_ret_1y"),
         F.col("ground_truth_volatility_1y").alias("gt_vol_1y"),
-        parse.returns_band(completion).alias("pred_ret_1y"),
-        parse.volatility_band(completion).alias("pred_vol_1y"),
-    )
+    ]
+    return predictions.parse_predictions(df, FIELDS, keep=["doc_id", *truth])
 
 
 @_query
@@ -210,7 +215,8 @@ def parse_band_prediction(spark, sf_dir):
 @_query
 def parse_risk_level(spark, sf_dir):
     df = fixtures.band_texts(spark, sf_dir)
-    return df.select("doc_id", parse.risk_level(F.col("completion")).alias("risk_level"))
+    fields = {"risk_level": ("risk_level", RISK_LEVELS)}
+    return predictions.parse_predictions(df, fields, keep=["doc_id"])
 
 
 @_query
@@ -374,9 +380,7 @@ def _ids(c: Column) -> Column:
 
 def _sequences(spark, sf_dir) -> DataFrame:
     df = rollouts.normalise_responses(fixtures.responses(spark, sf_dir), "response", EOS)
-    return df.select(
-        "event_id", "batch_id", "prompt_ids", F.posexplode("completion_ids").alias("pos", "seq")
-    )
+    return rollouts.explode_sequences(df.drop("response"))
 
 
 @_query

@@ -205,7 +205,7 @@ def rollouts_from_events(events: DataFrame) -> DataFrame:
     answer = F.when(F.col("user_id") % 4 == 0, F.lit("click")).otherwise(F.col("event_type"))
     return events.select(
         "event_id",
-        F.floor(F.col("event_id") / 7).cast("bigint").alias("grp"),
+        F.expr("event_id div 7").alias("grp"),
         F.col("value").alias("reward"),
         F.col("ts").cast("timestamp").alias("ts"),
         completion.alias("completion"),
@@ -232,7 +232,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return events.select(
         "event_id",
-        F.floor(key / 8).cast("bigint").alias("batch_id"),
+        F.expr("event_id div 8").alias("batch_id"),
         F.sequence(F.lit(1), (key % 4 + 1).cast("int")).alias("prompt_ids"),
         response.alias("response"),
     )

@@ -43,7 +43,7 @@ def sample_per_bucket(
     ``samples`` per bucket before the shuffle (a group-limited window), so a
     bucket of any size costs its final task ``samples`` rows per input task.
     """
-    bucket = (F.floor(F.col(step) / F.lit(every)) * F.lit(every)).cast("bigint")
+    bucket = F.col(step).cast("bigint") - F.pmod(F.col(step).cast("bigint"), F.lit(every))
     ranked = df.withColumns({"eval_step": bucket, "__hash": key_hash(seed, F.col(key))})
     order = Window.partitionBy("eval_step").orderBy("__hash", key)
     return (
