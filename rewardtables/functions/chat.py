@@ -10,7 +10,7 @@ _HEAD_OPEN = "<|start_header_id|>"
 _HEAD_CLOSE = "<|end_header_id|>\n"
 _END_OF_TURN = "<|eot_id|>"
 
-# ASCII white space; the same class is written in the tests' SQL
+_ASCII_SPACES = " \t\n\x0b\f\r"
 _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -32,8 +32,9 @@ def render_chat(messages: Column, add_generation: bool = True) -> Column:
 
 
 def whitespace_tokens(text: Column) -> Column:
-    """Non-empty runs of non-white-space characters."""
-    return F.filter(F.split(text, _SPACES), lambda t: t != "")
+    """Runs of characters other than ASCII white space; empty for a blank text."""
+    bare = F.btrim(text, F.lit(_ASCII_SPACES))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, _SPACES))
 
 
 def keep_last(tokens: Column, n: int) -> Column:
@@ -43,7 +44,10 @@ def keep_last(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) <= n, tokens).otherwise(F.slice(tokens, -n, n))
 
 
-def truncate_text(text: Column, n: int) -> Column:
-    """Keep the last ``n`` white-space tokens of a text; shorter texts stay untouched."""
-    tokens = whitespace_tokens(text)
-    return F.when(F.size(tokens) <= n, text).otherwise(F.array_join(keep_last(tokens, n), " "))
+def truncate_text(text: Column, tokens: Column, n: int) -> Column:
+    """Join the last ``n`` of a text's tokens by spaces; shorter texts stay untouched.
+
+    Give columns, not expressions: both are used more than once.
+    """
+    tail = F.array_join(F.slice(tokens, -n, n), " ")
+    return F.when(F.size(tokens) <= n, text).otherwise(tail)

@@ -34,14 +34,14 @@ def summarise(df: DataFrame) -> DataFrame:
 
 def missing_folds(df: DataFrame, k_folds: int) -> DataFrame:
     """Expected folds 0 … k−1 without a row."""
-    expected = df.sparkSession.range(k_folds).select(F.col("id").cast("int").alias("fold"))
+    expected = df.sparkSession.range(0, k_folds, 1, 1).select(F.col("id").cast("int").alias("fold"))
     found = df.select(F.col("fold").cast("int").alias("fold")).distinct()
     return expected.join(found, "fold", "left_anti")
 
 
 def fold_status(df: DataFrame, k_folds: int) -> DataFrame:
     """Every expected fold with whether it was found."""
-    expected = df.sparkSession.range(k_folds).select(F.col("id").cast("int").alias("fold"))
+    expected = df.sparkSession.range(0, k_folds, 1, 1).select(F.col("id").cast("int").alias("fold"))
     found = df.groupBy(F.col("fold").cast("int").alias("fold")).agg(F.lit(True).alias("found"))
     return expected.join(found, "fold", "left").select(
         "fold", F.coalesce("found", F.lit(False)).alias("found")

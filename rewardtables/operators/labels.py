@@ -9,9 +9,9 @@ prices are the caller's.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -30,28 +30,40 @@ def monthly_prices(
     )
 
 
+def _months(ticker: str, date: str) -> WindowSpec:
+    return Window.partitionBy(ticker).orderBy(month_index(F.col(date)))
+
+
+def _ratio(a: Column, b: Column) -> Column:
+    """a / b, NULL for a zero divisor."""
+    return a / F.nullif(b, F.lit(0.0))
+
+
 def forward_return(
     df: DataFrame, ticker: str, date: str, price: str, months: int, out: str = "forward_return"
 ) -> DataFrame:
-    """Add price(date + months) / price(date) − 1, NULL where that date has no price.
+    """Add price(date + months) / price(date) − 1, NULL where that month has no price.
 
-    A calendar equi-join on (ticker, shifted date): ``lead`` counts rows and goes
-    wrong wherever a month is missing. The key spreads even a single ticker.
+    The window's range is on calendar months: ``lead`` counts rows and goes
+    wrong wherever a month is missing. Further horizons, volatilities and
+    histories of the same series run on the same partitioning and sort order.
     """
-    future = df.select(
-        F.col(ticker).alias("__ticker"),
-        F.add_months(F.col(date), -months).alias("__date"),
-        F.col(price).alias("__future"),
-    )
-    joined = df.join(
-        future, (F.col(ticker) == F.col("__ticker")) & (F.col(date) == F.col("__date")), "left"
-    )
-    change = F.col("__future") / F.nullif(F.col(price), F.lit(0.0)) - F.lit(1.0)
-    return joined.withColumn(out, change).drop("__ticker", "__date", "__future")
+    return forward_returns(df, ticker, date, price, {out: months})
 
 
-def _months(ticker: str, date: str) -> Window:
-    return Window.partitionBy(ticker).orderBy(month_index(F.col(date)))
+def forward_returns(
+    df: DataFrame, ticker: str, date: str, price: str, horizons: Mapping[str, int]
+) -> DataFrame:
+    """``forward_return`` for several horizons, ``{out: months}``, in one pass."""
+    series = _months(ticker, date)
+    later = {
+        f"__{out}": F.max(price).over(series.rangeBetween(months, months))
+        for out, months in horizons.items()
+    }
+    change = {
+        out: _ratio(F.col(f"__{out}"), F.col(price)) - F.lit(1.0) for out in horizons
+    }
+    return df.withColumns(later).withColumns(change).drop(*later)
 
 
 def log_returns(
@@ -59,8 +71,11 @@ def log_returns(
 ) -> DataFrame:
     """Add ln(price / price of the previous calendar month), NULL after a gap."""
     previous = F.max(price).over(_months(ticker, date).rangeBetween(-1, -1))
-    ratio = F.col(price) / F.nullif(previous, F.lit(0.0))
-    return df.withColumn(out, F.when(ratio > 0, F.log(ratio)))
+    ratio = _ratio(F.col(price), F.col("__previous"))
+    logs = df.withColumn("__previous", previous).withColumn("__ratio", ratio)
+    return logs.withColumn(out, F.when(F.col("__ratio") > 0, F.log("__ratio"))).drop(
+        "__previous", "__ratio"
+    )
 
 
 def forward_volatility(

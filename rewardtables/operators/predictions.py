@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rewardtables.functions.parse import extract_tagged
+from rewardtables.functions.parse import tagged_value
 from rewardtables.functions.text import xml_answer
 
 
@@ -20,11 +20,11 @@ def parse_predictions(
     """Columns ``keep`` and one column per field, ``{out: (tag, allowed values)}``.
 
     The answer is cut out of the completion once, as a column of its own; the
-    fields then look at that short text only (cutting it again changes nothing).
+    fields then look at that short text only.
     """
     answered = df.withColumn("__answer", xml_answer(F.col(completion)))
     parsed = [
-        extract_tagged(F.col("__answer"), tag, allowed).alias(out)
+        tagged_value(F.col("__answer"), tag, allowed).alias(out)
         for out, (tag, allowed) in fields.items()
     ]
     return answered.select(*keep, *parsed)

@@ -12,7 +12,7 @@ from rewardtables.constants import (
     RISK_SYSTEM_PROMPT,
     SYSTEM_PROMPT,
 )
-from rewardtables.functions.chat import render_chat, truncate_text
+from rewardtables.functions.chat import render_chat, truncate_text, whitespace_tokens
 from rewardtables.functions.text import hash_answer, message
 
 
@@ -68,10 +68,12 @@ def format_prompts(
     if max_tokens < 1:
         raise ValueError("max_tokens must be at least 1")
     rendered = render_chat(chat_messages(F.col(prompt), system_prompt))
+    df = df.select(*keep, rendered.alias("__chat"))
     if tokenizer is None:
-        out = truncate_text(rendered, max_tokens)
+        df = df.withColumn("__tokens", whitespace_tokens(F.col("__chat")))
+        out = truncate_text(F.col("__chat"), F.col("__tokens"), max_tokens)
     else:
-        out = _tokenizer_tail(tokenizer, max_tokens)(rendered)
+        out = _tokenizer_tail(tokenizer, max_tokens)(F.col("__chat"))
     return df.select(*keep, out.alias("prompt"))
 
 

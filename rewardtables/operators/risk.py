@@ -214,3 +214,15 @@ def var_cvar(
     end = "second" if var >= b else "first"
     cvar = row[f"cum_s_{end}"] / row[f"cum_n_{end}"]
     return literal_rows(spark, [(var, cvar, predictions)], _RESULT)
+
+
+def metric_rows(df: DataFrame, confidence: float = CONFIDENCE, prefix: str = "portfolio") -> DataFrame:
+    """``metric, value`` rows of a VaR / CVaR row, named after the confidence in per cent."""
+    percent = f"{confidence * 100:g}"
+    return df.select(
+        F.stack(
+            F.lit(2),
+            F.lit(f"{prefix}_VaR_{percent}"), F.col("var"),
+            F.lit(f"{prefix}_CVaR_{percent}"), F.col("cvar"),
+        ).alias("metric", "value")
+    )

@@ -73,12 +73,12 @@ def latest_checkpoint(
     Steps compare as whole numbers of any length: by digit count, then digits.
     ``step`` itself is a BIGINT, NULL where it does not fit.
     """
-    digits = F.regexp_extract(F.col(name_col), _CHECKPOINT, 1)
-    bare = F.regexp_replace(digits, "^0+(?=[0-9])", "")
     candidates = manifest.where(
         F.coalesce(F.col(is_dir_col), F.lit(False)) & F.col(name_col).rlike(_CHECKPOINT)
     )
-    rank = F.struct(F.length(bare), bare, F.col(name_col))
+    bare = F.regexp_replace(F.regexp_extract(F.col(name_col), _CHECKPOINT, 1), "^0+(?=[0-9])", "")
+    candidates = candidates.select(run_col, name_col, bare.alias("__step"))
+    rank = F.struct(F.length("__step"), F.col("__step"), F.col(name_col))
     best = candidates.groupBy(run_col).agg(F.max_by(F.col(name_col), rank).alias("latest"))
     step = F.regexp_extract("latest", _CHECKPOINT, 1).try_cast("bigint")
     return best.select(run_col, "latest", step.alias("step"))

@@ -111,16 +111,16 @@ def reward_scorecard_rows(spark, sf_dir):
     )
 
 
-def _closing_tags(completions, **kwargs):
-    return [float(c[0]["content"].count("</")) for c in completions]
-
-
 @_query
 def python_reward(spark, sf_dir):
-    scorecard.register(
-        "closing_tags",
-        scorecard.python_reward(_closing_tags, {"completions": "raw_completion"}),
-    )
+    """A user's Python reward: the number of closing tags in a completion."""
+
+    # local functions travel to the executors by value
+    def closing_tags(completions, **kwargs):
+        return [float(c[0]["content"].count("</")) for c in completions]
+
+    reward = scorecard.python_reward(closing_tags, {"completions": "raw_completion"})
+    scorecard.register("closing_tags", reward)
     scored = scorecard.scorecard(fixtures.nested_completions(spark, sf_dir), ["closing_tags"])
     return scored.select("conv_id", "turn", F.col("reward_closing_tags").alias("reward"))
 
@@ -288,9 +288,9 @@ def band_metrics_by_horizon(spark, sf_dir):
 def evaluation_metric_map(spark, sf_dir):
     """From financial examples with completions to the metric map: filter, parse, measure."""
     parsed = _parsed(metrics.only_task(fixtures.band_texts(spark, sf_dir)))
-    pairs = metrics.long_pairs(parsed, PAIRS)
-    measured = metrics.band_metrics(pairs, groups=list(PAIRS))
-    return _rounded(metrics.metric_map(measured, suffix="_1y"), "value")
+    measured = metrics.band_metrics(metrics.long_pairs(parsed, PAIRS), groups=list(PAIRS))
+    tail = risk.metric_rows(risk.var_cvar(parsed, "pred_ret_1y", "doc_id"))
+    return _rounded(metrics.metric_map(measured, suffix="_1y").unionByName(tail), "value")
 
 
 # --- risk ---------------------------------------------------------------------
@@ -374,6 +374,14 @@ def group_relative_advantage(spark, sf_dir):
     return _rounded(rollouts.group_advantage(df, "grp", "reward"), "advantage")
 
 
+@_query
+def rollout_scoring(spark, sf_dir):
+    """Rollouts to training signal: every reward, their sum, its advantage within the group."""
+    scored = scorecard.scorecard(fixtures.rollouts(spark, sf_dir), REWARDS)
+    narrow = scored.select("event_id", "grp", "reward_total")
+    return _rounded(rollouts.group_advantage(narrow, "grp", "reward_total"), "advantage")
+
+
 def _ids(c: Column) -> Column:
     return F.array_join(c.cast("array<string>"), ",")
 
@@ -445,8 +453,8 @@ def _month() -> Column:
 @_query
 def forward_return(spark, sf_dir):
     df = fixtures.series(spark, sf_dir)
-    one = labels.forward_return(df, "ticker", "month", "price", 12, "return_1y")
-    both = labels.forward_return(one, "ticker", "month", "price", 60, "return_5y")
+    horizons = {"return_1y": 12, "return_5y": 60}
+    both = labels.forward_returns(df, "ticker", "month", "price", horizons)
     return _rounded(both, "return_1y", "return_5y").select(
         "ticker", _month(), "return_1y", "return_5y"
     )

@@ -249,6 +249,9 @@ _CTES = {
         from (select pred_ret_1y, md5(doc_id||':'||i) as h
           from predictions, range(1, 1001) t(i) where pred_ret_1y is not null))""",
 }
+_CTES["parsed_draws"] = _CTES["draws"].replace(
+    "from predictions, range(1, 1001) t(i) where", "from parsed, range(1, 1001) t(i) where is_grpo_task and"
+)
 
 _NEEDS = {
     "band_texts": ["predictions"],
@@ -262,6 +265,7 @@ _NEEDS = {
     "returns": ["series"],
     "volatility": ["returns"],
     "draws": ["predictions"],
+    "parsed_draws": ["parsed"],
 }
 
 
@@ -341,6 +345,8 @@ def oracle_sql() -> dict[str, str]:
         f"select metric, {_r6('avg(value) filter (not isnan(value))')} as mean, "
         f"{_r6('stddev_samp(value) filter (not isnan(value))')} as std_dev "
     )
+    quantile = "(select quantile_cont(x, 0.05) from parsed_draws)"
+    tail_mean = f"(select avg(x) from parsed_draws where x <= {quantile})"
     fold_nan = (
         "select fold, metric, case when fold = 1 and metric = 'accuracy_good' "
         "then 'nan'::double else value end as value from fold_metrics"
@@ -469,8 +475,10 @@ def oracle_sql() -> dict[str, str]:
             f"""select unnest(['accuracy_'||band_type||'_1y', 'mse_'||band_type||'_1y',
                 'f1_weighted_'||band_type||'_1y', 'r2_score_'||band_type||'_1y']) as metric,
               unnest([{_r6('accuracy')}, {_r6('mse')}, {_r6('f1')}, {_r6('r2')}]) as value
-              from base join f1 using (band_type)""",
-            "parsed_pairs",
+              from base join f1 using (band_type)
+              union all select 'portfolio_VaR_95', {_r6(quantile)}
+              union all select 'portfolio_CVaR_95', {_r6(tail_mean)}""",
+            "parsed_pairs", "parsed_draws",
             **_metric_ctes("parsed_pairs", "band_type"),
         ),
         "var_cvar_simulated": _with(
@@ -519,6 +527,13 @@ def oracle_sql() -> dict[str, str]:
               from rollouts window w as (partition by grp)""",
             "rollouts",
         ),
+        "rollout_scoring": _with(
+            f"""select event_id, grp, t as reward_total, {_r6('''(t - avg(t) over w)
+                / (coalesce(stddev_samp(t) over w, 0) + 1e-4)''')} as advantage
+              from (select event_id, grp, c + f + l as t
+                from (select event_id, grp, {_SCORES} from rollouts)) window w as (partition by grp)""",
+            "rollouts",
+        ),
         "response_normalise": _with(
             "select event_id, pos::int as pos, array_to_string(seq, ',') as ids from sequences",
             "sequences",

@@ -29,6 +29,13 @@ def _measures() -> list[Column]:
     ]
 
 
+def _least(df: DataFrame, keys: list[str], order: list[str], samples: int) -> DataFrame:
+    """The first ``samples`` rows of each group; Spark cuts each task's rows before the shuffle."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn("__rank", F.row_number().over(window))
+    return ranked.where(F.col("__rank") <= F.lit(samples)).drop("__rank")
+
+
 def sample_per_bucket(
     df: DataFrame,
     step: str,
@@ -36,21 +43,27 @@ def sample_per_bucket(
     every: int = EVAL_EVERY,
     samples: int = EVAL_SAMPLES,
     seed: int = 42,
+    lanes: int = 16,
 ) -> DataFrame:
     """The ``samples`` rows of each ``every``-step bucket with the least key hash.
 
-    Adds ``eval_step``, the bucket's first step. Spark cuts each task's rows to
-    ``samples`` per bucket before the shuffle (a group-limited window), so a
-    bucket of any size costs its final task ``samples`` rows per input task.
+    Adds ``eval_step``, the bucket's first step. Each task first cuts its rows to
+    ``samples`` per bucket. What is left of a bucket goes to ``lanes`` tasks by
+    the task it comes from, which cut again, and then to one: a bucket that
+    spans every task of a large job still reaches its last task as
+    ``lanes · samples`` rows. The lanes do not touch the result.
     """
-    bucket = F.col(step).cast("bigint") - F.pmod(F.col(step).cast("bigint"), F.lit(every))
-    ranked = df.withColumns({"eval_step": bucket, "__hash": key_hash(seed, F.col(key))})
-    order = Window.partitionBy("eval_step").orderBy("__hash", key)
-    return (
-        ranked.withColumn("__rank", F.row_number().over(order))
-        .where(F.col("__rank") <= F.lit(samples))
-        .drop("__hash", "__rank")
+    number = F.col(step).cast("bigint")
+    hashed = df.withColumns(
+        {
+            "eval_step": number - F.pmod(number, F.lit(every)),
+            "__hash": key_hash(seed, F.col(key)),
+            "__lane": F.spark_partition_id() % F.lit(lanes),
+        }
     )
+    order = ["__hash", key]
+    cut = _least(hashed, ["eval_step", "__lane"], order, samples).drop("__lane")
+    return _least(cut, ["eval_step"], order, samples).drop("__hash")
 
 
 def periodic_eval(

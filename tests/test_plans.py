@@ -28,7 +28,7 @@ def test_no_pairwise_or_python_steps(spark, sf_dir, name):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(set(QUERIES) - {"var_cvar_simulated", "var_cvar_mixture", "fold_file_summary"})
+    "name", sorted(set(QUERIES) - {"fold_file_summary"})
 )
 def test_nothing_moves_to_a_single_partition(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
