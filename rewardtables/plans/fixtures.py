@@ -203,11 +203,13 @@ def rollouts_from_events(events: DataFrame) -> DataFrame:
     tagged = render_cot(F.col("props"), F.col("event_type"))
     completion = F.when(F.col("event_id") % 3 == 1, F.concat(F.lit("> "), tagged)).otherwise(tagged)
     answer = F.when(F.col("user_id") % 4 == 0, F.lit("click")).otherwise(F.col("event_type"))
+    # a watermark needs a zoned time; a batch keeps the zone-less one, free of the session's zone
+    ts = F.col("ts").cast("timestamp") if events.isStreaming else F.col("ts")
     return events.select(
         "event_id",
         F.expr("event_id div 7").alias("grp"),
         F.col("value").alias("reward"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        ts.alias("ts"),
         completion.alias("completion"),
         answer.alias("answer"),
     )
