@@ -1,10 +1,13 @@
-"""Token-id array expressions."""
+"""Token-id array expressions and checkpoint names."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# fixed value: directory name of a checkpoint; "(?d)" as in the format reward
+CHECKPOINT_NAME = "(?d)^checkpoint-([0-9]+)$"
+
 RESPONSE_SCHEMA = (
     "completion_ids ARRAY<ARRAY<INT>>, outputs ARRAY<STRUCT<token_ids: ARRAY<INT>>>"
 )
@@ -58,6 +61,16 @@ def ensure_new_token(inp: Column, out: Column, eos_id: int | None, pad_id: int |
     return F.when(F.size(out) == F.size(inp), F.concat(out, F.array(F.lit(filler)))).otherwise(out)
 
 
+def checkpoint_digits(name: Column) -> Column:
+    """Step of a checkpoint directory name as text without leading zeros; empty for other names."""
+    return F.regexp_replace(F.regexp_extract(name, CHECKPOINT_NAME, 1), "^0+(?=[0-9])", "")
+
+
+def checkpoint_step(name: Column) -> Column:
+    """Step of a checkpoint directory name as BIGINT; NULL for other names and larger numbers."""
+    return checkpoint_digits(name).try_cast("bigint")
+
+
 def zip_shortest(left: Column, right: Column) -> Column:
     """Pairs of two arrays up to the shorter one's end (``arrays_zip`` alone pads with NULL)."""
     n = F.least(F.size(left), F.size(right))

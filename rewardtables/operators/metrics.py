@@ -94,66 +94,57 @@ def metrics_from_confusion(
 ) -> DataFrame:
     """The metrics of ``band_metrics`` from confusion counts."""
     by = [by] if isinstance(by, str) else list(by)
-    n, g, p = F.col("n").cast("double"), F.col("g"), F.col("p")
-    cells = cells.withColumns(
-        {
-            "g": ordinal_of(F.col(band_type), F.col("gt"), ordinals).cast("double"),
-            "p": ordinal_of(F.col(band_type), F.col("pred"), ordinals).cast("double"),
-        }
+    ordinals_of = {
+        out: ordinal_of(F.col(band_type), F.col(label), ordinals).cast("double")
+        for out, label in (("g", "gt"), ("p", "pred"))
+    }
+    cells = cells.withColumns(ordinals_of).selectExpr(
+        *by, "gt", "pred", "g", "p", "double(n) AS n", "double(gt = pred) AS hit",
+        "double(g IS NOT NULL AND p IS NOT NULL) AS mapped",
     )
-    hit = (F.col("gt") == F.col("pred")).cast("double")
-    mapped = g.isNotNull() & p.isNotNull()
-
-    def on_mapped(value: Column) -> Column:
-        return F.when(mapped, value).otherwise(F.lit(0.0))
-
-    # what a cell adds to its group, and to its truth's and its prediction's label
+    # what a cell adds to its group; it counts with its truth's label only
     cell = {
-        "n": n,
-        "hits": n * hit,
-        "m": on_mapped(n),
-        "sse": on_mapped(n * (g - p) * (g - p)),
-        "sum_g": on_mapped(n * g),
-        "sum_gg": on_mapped(n * g * g),
+        "n": "n",
+        "hits": "n * hit",
+        "m": "n * mapped",
+        "sse": "IF(mapped = 1, n * (g - p) * (g - p), 0D)",
+        "sum_g": "IF(mapped = 1, n * g, 0D)",
+        "sum_gg": "IF(mapped = 1, n * g * g, 0D)",
+    }
+    truth = {
+        "label": "gt", "support": "n", "predicted": "0D", "tp": "n * hit",
+        "g": "IF(mapped = 1 AND n > 0, g, NULL)", **cell,
     }
-    truth = [F.col("gt").alias("label"), n.alias("support"), F.lit(0.0).alias("predicted")]
-    truth += [(n * hit).alias("tp"), F.when(mapped & (n > 0), g).alias("g")]
-    truth += [c.alias(k) for k, c in cell.items()]
-    guess = [F.col("pred").alias("label"), F.lit(0.0).alias("support"), n.alias("predicted")]
-    guess += [F.lit(0.0).alias("tp"), F.lit(None).cast("double").alias("g")]
-    guess += [F.lit(0.0).alias(k) for k in cell]
+    guess = {
+        "label": "pred", "support": "0D", "predicted": "n", "tp": "0D",
+        "g": "double(NULL)", **dict.fromkeys(cell, "0D"),
+    }
+
+    def struct(fields: Mapping[str, str]) -> str:
+        return "struct(" + ", ".join(f"{e} AS {name}" for name, e in fields.items()) + ")"
 
+    labels = cells.selectExpr(*by, f"inline(array({struct(truth)}, {struct(guess)}))")
     sums = ["support", "predicted", "tp", *cell]
-    per_label = (
-        cells.select(*by, F.inline(F.array(F.struct(*truth), F.struct(*guess))))
-        .groupBy(*by, "label")
-        .agg(*[F.sum(c).alias(c) for c in sums], F.min("g").alias("min_g"), F.max("g").alias("max_g"))
+    per_label = labels.groupBy(*by, "label").agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("g").alias("min_g"), F.max("g").alias("max_g")
     )
-    f1 = F.when(
-        F.col("support") + F.col("predicted") > 0,
-        F.lit(2.0) * F.col("tp") / (F.col("support") + F.col("predicted")),
-    ).otherwise(F.lit(0.0))
+    f1 = "IF(support + predicted > 0, 2 * tp / (support + predicted), 0D)"
     totals = per_label.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in cell],
-        F.sum(f1 * F.col("support")).alias("f1_sum"),
+        F.expr(f"sum({f1} * support)").alias("f1_sum"),
         F.min("min_g").alias("min_g"),
         F.max("max_g").alias("max_g"),
     )
-    total, m = F.col("n"), F.col("m")
-    sst = F.col("sum_gg") - F.col("sum_g") * F.col("sum_g") / m
-    r2 = (
-        F.when(m < 2, F.lit(None).cast("double"))
-        .when(F.col("min_g") == F.col("max_g"), F.when(F.col("sse") == 0, 1.0).otherwise(0.0))
-        .otherwise(F.lit(1.0) - F.col("sse") / sst)
-    )
-    return totals.select(
+    return totals.selectExpr(
         *by,
-        total.cast("bigint").alias("n"),
-        (total - m).cast("bigint").alias("n_unmapped"),
-        F.when(total > 0, F.col("hits") / total).alias("accuracy"),
-        F.when(m > 0, F.col("sse") / m).alias("mse"),
-        F.when(total > 0, F.col("f1_sum") / total).alias("f1_weighted"),
-        r2.alias("r2"),
+        "bigint(n) AS n",
+        "bigint(n - m) AS n_unmapped",
+        "hits / nullif(n, 0) AS accuracy",
+        "sse / nullif(m, 0) AS mse",
+        "f1_sum / nullif(n, 0) AS f1_weighted",
+        """CASE WHEN m < 2 THEN NULL
+             WHEN min_g = max_g THEN IF(sse = 0, 1D, 0D)
+             ELSE 1 - sse / (sum_gg - sum_g * sum_g / m) END AS r2""",
     )
 
 

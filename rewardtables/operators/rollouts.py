@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from rewardtables.functions import tokens
 from rewardtables.operators.grouped import with_group_stats
 
-# fixed value: directory name of a checkpoint; "(?d)" as in the format reward
-_CHECKPOINT = "(?d)^checkpoint-([0-9]+)$"
-
 
 def group_advantage(
     df: DataFrame,
@@ -73,12 +70,11 @@ def latest_checkpoint(
     Steps compare as whole numbers of any length: by digit count, then digits.
     ``step`` itself is a BIGINT, NULL where it does not fit.
     """
+    name = F.col(name_col)
+    digits = tokens.checkpoint_digits(name).alias("__step")
     candidates = manifest.where(
-        F.coalesce(F.col(is_dir_col), F.lit(False)) & F.col(name_col).rlike(_CHECKPOINT)
-    )
-    bare = F.regexp_replace(F.regexp_extract(F.col(name_col), _CHECKPOINT, 1), "^0+(?=[0-9])", "")
-    candidates = candidates.select(run_col, name_col, bare.alias("__step"))
-    rank = F.struct(F.length("__step"), F.col("__step"), F.col(name_col))
-    best = candidates.groupBy(run_col).agg(F.max_by(F.col(name_col), rank).alias("latest"))
-    step = F.regexp_extract("latest", _CHECKPOINT, 1).try_cast("bigint")
-    return best.select(run_col, "latest", step.alias("step"))
+        F.coalesce(F.col(is_dir_col), F.lit(False)) & name.rlike(tokens.CHECKPOINT_NAME)
+    ).select(run_col, name_col, digits)
+    rank = F.struct(F.length("__step"), F.col("__step"), name)
+    best = candidates.groupBy(run_col).agg(F.max_by(name, rank).alias("latest"))
+    return best.withColumn("step", tokens.checkpoint_step(F.col("latest")))

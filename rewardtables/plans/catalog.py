@@ -26,7 +26,7 @@ from rewardtables.operators import (
 )
 from rewardtables.plans import fixtures
 from rewardtables.sources import fold_files, scratch, tables
-from rewardtables.sources.schemas import PREDICTIONS
+from rewardtables.sources.schemas import PREDICTIONS, QA
 from rewardtables.streaming import periodic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,23 @@ def format_prompts(spark, sf_dir):
     return prompts.format_prompts(docs, keep=("doc_id",))
 
 
+@_query
+def tokenizer_tail_truncate(spark, sf_dir):
+    """The same with a tokenizer plugged in: one token per character, the last 500 kept."""
+
+    class Characters:
+        def encode(self, text):
+            return list(text)
+
+        def decode(self, ids):
+            return "".join(ids)
+
+    docs = fixtures.table(spark, sf_dir, "documents").withColumnRenamed("text", "prompt")
+    return prompts.format_prompts(
+        docs, max_tokens=500, tokenizer=Characters(), keep=("doc_id",)
+    )
+
+
 @_query
 def instruction_concat_first_n(spark, sf_dir):
     bench = fixtures.bench(spark, sf_dir)
@@ -338,6 +355,14 @@ def fold_metric_summary(spark, sf_dir):
     return _rounded(folds.summarise(fixtures.fold_metrics(spark, sf_dir)), "mean", "std_dev")
 
 
+@_query
+def append_fold_records(spark, sf_dir):
+    """Wide fold records with differing keys, appended and put in long form."""
+    wide = fixtures.fold_records(spark, sf_dir)
+    first = wide.where(F.col("fold") == 0).drop("accuracy_good")
+    return _rounded(folds.to_long(folds.append_folds(first, wide.where(F.col("fold") != 0))), "value")
+
+
 @_query
 def fold_file_summary(spark, sf_dir):
     """The same through one JSON file per fold."""
@@ -365,6 +390,15 @@ def result_sink_roundtrip(spark, sf_dir):
     return tables.read_table(spark, path, f"doc_id BIGINT, {PREDICTIONS}")
 
 
+@_query
+def split_table_scan(spark, sf_dir):
+    """Questions written by split, one split read back: only its directory is scanned."""
+    path = scratch.scratch_dir(spark, "qa")
+    split = splits.holdout(fixtures.qa(spark, sf_dir), "item_id")
+    split.select("question", "answer", "split").write.partitionBy("split").parquet(path)
+    return tables.read_table(spark, path, QA, split="test")
+
+
 # --- rollouts -----------------------------------------------------------------
 
 
@@ -396,6 +430,23 @@ def response_normalise(spark, sf_dir):
     return _sequences(spark, sf_dir).select("event_id", "pos", _ids(F.col("seq")).alias("ids"))
 
 
+@_query
+def response_log_scan(spark, sf_dir):
+    """Responses logged as JSON lines, read back and normalised; how often each sequence occurs."""
+    path = scratch.scratch_dir(spark, "responses")
+    fixtures.responses(spark, sf_dir).select("response").write.text(path)
+    logged = rollouts.normalise_responses(tables.read_responses(spark, path), "response", EOS)
+    sequences = rollouts.explode_sequences(logged.drop("response"))
+    return sequences.groupBy(_ids(F.col("seq")).alias("ids")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def positional_pairing(spark, sf_dir):
+    pairs = tokens.zip_shortest(F.col("prompt_ids"), F.col("seq"))
+    shown = F.transform(pairs, lambda p: F.concat_ws(":", p["left"], p["right"]))
+    return _sequences(spark, sf_dir).select("event_id", "pos", F.array_join(shown, ",").alias("pairs"))
+
+
 @_query
 def pad_batch(spark, sf_dir):
     padded = rollouts.pad_batch(_sequences(spark, sf_dir), "seq", "batch_id", PAD)
@@ -424,6 +475,12 @@ def latest_checkpoint(spark, sf_dir):
     return rollouts.latest_checkpoint(fixtures.checkpoints(spark, sf_dir))
 
 
+@_query
+def checkpoint_steps(spark, sf_dir):
+    df = fixtures.checkpoints(spark, sf_dir)
+    return df.select("run", "name", "is_dir", tokens.checkpoint_step(F.col("name")).alias("step"))
+
+
 # --- periodic evaluation ------------------------------------------------------
 
 _MEANS = ["accuracy", *[f"mean_{n}" for n in REWARDS]]

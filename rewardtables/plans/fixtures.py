@@ -12,10 +12,28 @@ from pyspark.sql import functions as F
 from rewardtables.functions.hashing import key_hash
 from rewardtables.functions.text import message, render_cot
 from rewardtables.operators import labels, prompts
+from rewardtables.sources.tables import read_table
+
+
+# schemas of the given tables in use; declared, so that no job reads footers to infer them
+_SCHEMAS = {
+    "benchmark": "item_id BIGINT, text STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+        "value DOUBLE, props STRING"
+    ),
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", _SCHEMAS[name])
 
 
 def _choose(selector: Column, *values: Column) -> Column:
@@ -173,8 +191,8 @@ def band_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long metrics of five folds: fold 3 absent, one metric missing in fold 0 and NaN in fold 1."""
+def fold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide metrics of five folds without fold 3."""
     fold = (key_hash(42, F.col("doc_id")) % 5).cast("int")
     hit = (F.col("gt_ret_1y") == F.col("pred_ret_1y")).cast("double")
     wide = predictions(spark, sf_dir).groupBy(fold.alias("fold")).agg(
@@ -182,10 +200,15 @@ def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg(F.when(F.col("gt_ret_1y") == "good", hit)).alias("accuracy_good"),
         F.count(F.lit(1)).cast("double").alias("n_rows"),
     )
+    return wide.where(F.col("fold") != 3)
+
+
+def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in long form, with one metric missing in fold 0 and NaN in fold 1."""
     nan = F.lit(float("nan"))
     value = F.when((F.col("fold") == 1) & (F.col("metric") == "accuracy_good"), nan)
     return (
-        wide.where(F.col("fold") != 3)
+        fold_records(spark, sf_dir)
         .unpivot("fold", ["accuracy", "accuracy_good", "n_rows"], "metric", "value")
         .where((F.col("fold") != 0) | (F.col("metric") != "accuracy_good"))
         .withColumn("value", value.otherwise(F.col("value")))

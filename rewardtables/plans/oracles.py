@@ -411,6 +411,8 @@ def oracle_sql() -> dict[str, str]:
               else array_to_string(words[-2048:], ' ') end as prompt
             from (select doc_id, chat, {_words('chat')} as words
               from (select doc_id, {_chat(RISK_SYSTEM_PROMPT, 'text')} as chat from documents))""",
+        "tokenizer_tail_truncate": f"""
+            select doc_id, right({_chat(RISK_SYSTEM_PROMPT, 'text')}, 500) as prompt from documents""",
         "instruction_concat_first_n": _with(
             f"""select item_key, instruction||{_NL}||input as prompt from bench
               order by item_key limit 100""",
@@ -504,6 +506,17 @@ def oracle_sql() -> dict[str, str]:
         "fold_metric_summary": _with(
             summary + "from with_nan group by metric", "fold_metrics", with_nan=fold_nan
         ),
+        "append_fold_records": _with(
+            f"""select fold, metric, {_r6('value')} as value from (
+              select fold, metric, value from fold_metrics
+              union all select 0, 'accuracy_good', null)""",
+            "fold_metrics",
+        ),
+        "split_table_scan": _with(
+            f"""select question, answer, 'test' as split from qa
+              where {_hash52("'42:'||item_id")} / 4503599627370496.0::double < 0.2""",
+            "qa",
+        ),
         "fold_file_summary": _with(
             summary + "from with_nan group by metric", "fold_metrics", with_nan=fold_nan
         ),
@@ -538,6 +551,16 @@ def oracle_sql() -> dict[str, str]:
             "select event_id, pos::int as pos, array_to_string(seq, ',') as ids from sequences",
             "sequences",
         ),
+        "response_log_scan": _with(
+            "select array_to_string(seq, ',') as ids, count(*) as n from sequences group by 1",
+            "sequences",
+        ),
+        "positional_pairing": _with(
+            """select event_id, pos::int as pos, array_to_string([prompt_ids[i]||':'||seq[i]
+                for i in range(1, least(len(prompt_ids), len(seq)) + 1)], ',') as pairs
+              from sequences""",
+            "sequences",
+        ),
         "pad_batch": _with(
             """select event_id, batch_id, pos::int as pos, array_to_string(padded, ',') as ids
               from padded""",
@@ -564,6 +587,11 @@ def oracle_sql() -> dict[str, str]:
               group by run""",
             "checkpoints",
         ),
+        "checkpoint_steps": _with(
+            """select run, name, is_dir, cast(nullif(regexp_extract(name, '^checkpoint-([0-9]+)$', 1), '')
+              as bigint) as step from checkpoints""",
+            "checkpoints",
+        ),
         "periodic_eval": _with(
             f"""select eval_step, {_MEASURES} from (
                 select eval_step, {_SCORES} from (
