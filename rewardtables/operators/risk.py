@@ -116,17 +116,23 @@ def simulated_draws(
     tasks = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
+    band = F.col(band_col)
+    prefix = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
+    if seed is not None:
+        prefix = F.concat(F.lit(f"{seed}:"), prefix)
+    # all that does not change from draw to draw is worked out per prediction
     predictions = usable_predictions(df, band_col, dist).select(
-        F.col(key_col).alias("key"), F.col(band_col).alias("band")
+        F.col(key_col).alias("key"),
+        band.alias("band"),
+        prefix.alias("prefix"),
+        lookup(band, {b: float(m) for b, (m, _) in dist.items()}).alias("mean"),
+        lookup(band, {b: float(s) for b, (_, s) in dist.items()}).alias("std"),
     )
     numbered = predictions.repartition(tasks).select(
-        "key", "band", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw_no")
+        "*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw_no")
     )
-    parts = [F.col("key"), F.col("draw_no")] if seed is None else [seed, F.col("key"), F.col("draw_no")]
-    z = standard_normal(digest(*parts))
-    mean = lookup(F.col("band"), {b: float(m) for b, (m, _) in dist.items()})
-    std = lookup(F.col("band"), {b: float(s) for b, (_, s) in dist.items()})
-    return numbered.withColumn("draw", mean + std * z)
+    z = standard_normal(digest(F.col("prefix"), F.col("draw_no")))
+    return numbered.select("key", "band", "draw_no", (F.col("mean") + F.col("std") * z).alias("draw"))
 
 
 def _tail(values: DataFrame, low: float, high: float, first: int, second: int) -> DataFrame:
