@@ -21,6 +21,8 @@ from rewardtables.operators.literals import literal_rows
 
 Distributions = Mapping[str, tuple[float, float]]
 
+_DRAWS_PER_TASK = 10_000_000  # about half a minute of one core
+
 _RESULT = "var DOUBLE, cvar DOUBLE, n_predictions BIGINT"
 
 
@@ -105,17 +107,16 @@ def simulated_draws(
     dist: Distributions = BAND_DISTRIBUTIONS,
     draws: int = DRAWS_PER_PREDICTION,
     seed: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``draws`` normal values per usable prediction, as ``(key, band, draw_no, draw)``.
 
     Draw i (from 1) of a prediction comes from the hash of (seed, key, i), so it does not
     depend on partitioning, retries or other rows. Narrow rows are spread evenly
-    before they multiply.
+    over ``tasks`` (by default the cluster's parallelism) before they multiply.
     """
-    spark = df.sparkSession
-    tasks = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    if tasks is None:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
     band = F.col(band_col)
     prefix = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
     if seed is not None:
@@ -205,7 +206,8 @@ def var_cvar(
     position = (total - 1) * p
     first = math.floor(position)
     second = min(first + 1, total - 1)
-    values = simulated_draws(df, band_col, key_col, dist, draws, seed)
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / _DRAWS_PER_TASK))
+    values = simulated_draws(df, band_col, key_col, dist, draws, seed, tasks)
     error = math.sqrt(p * (1.0 - p) / total)
     width = 8.0
     while True:

@@ -426,7 +426,7 @@ def oracle_sql() -> dict[str, str]:
             "bench",
         ),
         "benchmark_exact_match": _with(
-            f"""select count(*) as n, sum(hit) as n_correct, {_r6('avg(hit)')} as accuracy
+            f"""select count(*) as n, sum(hit)::bigint as n_correct, {_r6('avg(hit)')} as accuracy
               from (select ({_strip("lower(split_part(generated, '[/INST]', -1))")} = lower(output))::bigint
                 as hit from bench order by item_key limit 100)""",
             "bench",

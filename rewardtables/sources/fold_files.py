@@ -19,7 +19,8 @@ def read_fold_metrics(spark: SparkSession, base_dir: str, k_folds: int) -> DataF
     """Long ``(fold, metric, value)`` rows of the folds 0 … k−1 that have a file.
 
     Every key of a file becomes a row, so folds may differ in keys. Absent folds
-    are skipped; no file at all gives no rows.
+    are skipped; no file at all gives no rows. A value that is no number is NULL
+    (true and false count as 1 and 0); a file that is no JSON object is an error.
     """
     try:
         files = spark.read.text(f"{base_dir.rstrip('/')}/{_DIR}*/{_FILE}", wholetext=True)
@@ -30,12 +31,16 @@ def read_fold_metrics(spark: SparkSession, base_dir: str, k_folds: int) -> DataF
     name = F.regexp_extract(
         F.col("_metadata.file_path"), f"/{_DIR}(0|[1-9][0-9]*)/[^/]*$", 1
     )
-    metrics = F.from_json("value", "MAP<STRING, DOUBLE>")
-    return (
-        files.select(name.try_cast("int").alias("fold"), metrics.alias("metrics"))
+    # as texts: with DOUBLE values one odd value would void its whole file
+    metrics = F.from_json("value", "MAP<STRING, STRING>", {"mode": "FAILFAST"})
+    rows = (
+        files.select(name.try_cast("int").alias("fold"), "value")
         .where(F.col("fold") < F.lit(k_folds))
-        .select("fold", F.explode("metrics").alias("metric", "value"))
+        .select("fold", F.explode(metrics).alias("metric", "value"))
     )
+    text = F.btrim("value", F.lit('"'))
+    number = F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(text.try_cast("double"))
+    return rows.withColumn("value", number)
 
 
 def write_fold_metrics(df: DataFrame, base_dir: str) -> None:

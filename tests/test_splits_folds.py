@@ -93,6 +93,16 @@ def test_reading_fold_files(spark, tmp_path):
     assert status == {0: True, 1: False, 2: True}
 
 
+def test_odd_metric_values(spark, tmp_path):
+    base = str(tmp_path)
+    write(base, "fold_0", '{"a": true, "b": "text", "c": -Infinity, "d": {"x": 1}, "e": 2, "f": null}')
+    got = {r["metric"]: r["value"] for r in fold_files.read_fold_metrics(spark, base, 1).collect()}
+    assert got == {"a": 1.0, "b": None, "c": float("-inf"), "d": None, "e": 2.0, "f": None}
+    write(base, "fold_1", "no json")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        fold_files.read_fold_metrics(spark, base, 2).collect()
+
+
 def test_no_fold_files(spark, tmp_path):
     df = fold_files.read_fold_metrics(spark, str(tmp_path), 3)
     assert df.columns == ["fold", "metric", "value"] and df.count() == 0
