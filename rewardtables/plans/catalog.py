@@ -501,6 +501,22 @@ def windowed_eval(spark, sf_dir):
     return _rounded(out, *_MEANS).select(day, "n", *_MEANS)
 
 
+@_query
+def streaming_eval(spark, sf_dir):
+    """The same evaluation as a stream over the events, run to its end."""
+    base = scratch.scratch_dir(spark, "windows")
+    stream = fixtures.rollout_stream(spark, sf_dir)
+    windows = periodic.periodic_eval_stream(stream, "ts", "1 day", "1 hour", fraction=0.5)
+    query = periodic.start_windows(
+        windows, f"{base}/out", f"{base}/state", complete=True, availableNow=True
+    )
+    query.awaitTermination()
+    out = tables.read_table(spark, f"{base}/out", windows.schema)
+    epoch_day = F.floor(F.unix_seconds("window_start") / 86400).cast("int")
+    day = F.date_format(F.date_from_unix_date(epoch_day), "yyyy-MM-dd").alias("day")
+    return _rounded(out, *_MEANS).select(day, "n", *_MEANS)
+
+
 # --- price labels -------------------------------------------------------------
 
 def _month() -> Column:

@@ -221,13 +221,21 @@ def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollouts_from_events(events)
 
 
+def rollout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollouts as a stream over the events file."""
+    reader = spark.readStream.schema(_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
+    return rollouts_from_events(reader.parquet(sf_dir))
+
+
 def rollouts_from_events(events: DataFrame) -> DataFrame:
     """The rollout columns for an events table or stream."""
     tagged = render_cot(F.col("props"), F.col("event_type"))
     completion = F.when(F.col("event_id") % 3 == 1, F.concat(F.lit("> "), tagged)).otherwise(tagged)
     answer = F.when(F.col("user_id") % 4 == 0, F.lit("click")).otherwise(F.col("event_type"))
-    # a watermark needs a zoned time; a batch keeps the zone-less one, free of the session's zone
-    ts = F.col("ts").cast("timestamp") if events.isStreaming else F.col("ts")
+    ts = F.col("ts")
+    if events.isStreaming:
+        # a watermark needs a zoned time: the zone-less one as UTC, whatever the session's zone
+        ts = F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
     return events.select(
         "event_id",
         F.expr("event_id div 7").alias("grp"),

@@ -609,6 +609,13 @@ def oracle_sql() -> dict[str, str]:
               group by 1""",
             "rollouts",
         ),
+        "streaming_eval": _with(
+            f"""select strftime(cast(ts as date), '%Y-%m-%d') as day, {_MEASURES}
+              from (select ts, {_SCORES} from rollouts
+                where {_hash52("'42:'||event_id")} / 4503599627370496.0::double < 0.5)
+              group by 1""",
+            "rollouts",
+        ),
         "forward_return": _with(
             f"""select a.ticker, cast(year(a.month) * 12 + month(a.month) - 1 as int) as month_no,
                 {_r6('b.price / a.price - 1')} as return_1y, {_r6('c.price / a.price - 1')} as return_5y

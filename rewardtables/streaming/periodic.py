@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rewardtables.constants import EVAL_EVERY, EVAL_SAMPLES
 from rewardtables.functions import rewards
@@ -106,6 +107,27 @@ def periodic_eval_stream(
     )
 
 
+def start_windows(
+    windows: DataFrame, path: str, checkpoint: str, complete: bool = False, **trigger
+) -> StreamingQuery:
+    """Start writing a stream's windows to ``path`` as Parquet.
+
+    By default a window is appended once the watermark closes it, and its state
+    goes. ``complete`` keeps ``path`` equal to all windows so far, open ones too:
+    meant for a stream that ends (``availableNow=True``), as its state stays.
+    """
+    writer = windows.writeStream.option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    if not complete:
+        return writer.outputMode("append").format("parquet").start(path)
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return writer.outputMode("complete").foreachBatch(replace).start()
+
+
 def sample_writer(
     path: str,
     step: str,

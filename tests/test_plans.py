@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from rewardtables.functions.hashing import key_hash
 from rewardtables.operators import metrics, rollouts
 from rewardtables.plans import fixtures
+from rewardtables.streaming import periodic
 
 QUERIES = driver.queries()
 
@@ -69,6 +71,20 @@ def test_sampling_cuts_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in partial and "Partial" in partial and "Final" in final
 
 
+def test_a_hot_bucket_is_sampled_exactly(spark):
+    # two thirds of the rows in one bucket, spread over more tasks than lanes
+    step = F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7))
+    df = spark.range(0, 30_000, 1, 40).withColumn("step", step)
+    sampled = periodic.sample_per_bucket(df, "step", "id", every=1000, samples=20)
+    text = plan(sampled)
+    assert text.count("WindowGroupLimit") == 4 and text.count("Exchange hashpartitioning") == 2
+    got = {(r["eval_step"], r["id"]) for r in sampled.collect()}
+    ranked = {}
+    for r in df.withColumn("h", key_hash(42, F.col("id"))).collect():
+        ranked.setdefault(r["step"] // 1000 * 1000, []).append((r["h"], r["id"]))
+    assert got == {(b, i) for b, rows in ranked.items() for _, i in sorted(rows)[:20]}
+
+
 def test_first_rows_are_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(QUERIES["instruction_concat_first_n"](spark, sf_dir))
 

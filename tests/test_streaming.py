@@ -101,6 +101,15 @@ def test_exact_sample_over_micro_batches(spark, parts, sf_dir, tmp_path):
         assert a[step] == pytest.approx(row)
 
 
+def test_appended_windows(spark, parts, tmp_path):
+    windows = periodic.periodic_eval_stream(stream(spark, parts), "ts", "1 day", "1 hour")
+    query = periodic.start_windows(windows, str(tmp_path / "out"), str(tmp_path / "cp"), availableNow=True)
+    query.awaitTermination(120)
+    got = spark.read.schema(windows.schema).parquet(str(tmp_path / "out"))
+    rows = got.count()
+    assert rows > 10 and got.select("window_start").distinct().count() == rows
+
+
 def test_sample_size(spark):
     df = spark.range(250).withColumn("step", F.col("id") - 50)
     got = {r["eval_step"]: r["count"] for r in periodic.sample_per_bucket(df, "step", "id").groupBy("eval_step").count().collect()}
