@@ -303,8 +303,15 @@ def band_metrics_by_horizon(spark, sf_dir):
 
 @_query
 def evaluation_metric_map(spark, sf_dir):
-    """From financial examples with completions to the metric map: filter, parse, measure."""
-    parsed = _parsed(metrics.only_task(fixtures.band_texts(spark, sf_dir)))
+    """From financial examples with completions to the metric map: filter, parse, measure.
+
+    The result rows are written once; metrics and risk read that narrow table,
+    so the texts are scanned and parsed a single time.
+    """
+    path = scratch.scratch_dir(spark, "evaluation")
+    examples = metrics.only_task(fixtures.band_texts(spark, sf_dir))
+    tables.write_results(_parsed(examples), path)
+    parsed = tables.read_table(spark, path, f"doc_id BIGINT, {PREDICTIONS}")
     measured = metrics.band_metrics(metrics.long_pairs(parsed, PAIRS), groups=list(PAIRS))
     tail = risk.metric_rows(risk.var_cvar(parsed, "pred_ret_1y", "doc_id"))
     return _rounded(metrics.metric_map(measured, suffix="_1y").unionByName(tail), "value")
