@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its
-    machine; on a cluster the setting is required.
+    Without the setting a local session, whose executors live in the driver,
+    takes ``SCRATCH_DIR`` or ``/tmp/checkpoints``; any other session is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.environ.get("SCRATCH_DIR", "/tmp/checkpoints").rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared root."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there: lineage is cut,
+    costly inputs are computed a single time, lost executors cost a reread."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
