@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TEXTS_PER_STEP = 256
 
@@ -15,11 +13,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def empty_like(schema: T.StructType) -> pa.RecordBatch:
-    """No rows, in the Arrow form of a schema."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+#: rows of a few numbers that may be sent to every executor, some 16 MB
+FEW_ROWS = 500_000
 
-    return pa.RecordBatch.from_pylist([], schema=to_arrow_schema(schema))
+
+def few_rows(df: DataFrame) -> DataFrame:
+    """The rows, written once, to be broadcast where they are few; larger ones are shuffled."""
+    from rewardtables.sources.scratch import staged
+
+    df = staged(df, "side")
+    return F.broadcast(df) if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS else df
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
