@@ -123,7 +123,7 @@ def contained_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash."""
     held, items = contained_windows(docs, benchmark, window)
     held = staged(held, "contained-windows")
     before = (
@@ -156,4 +156,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.size(found).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", found), 256).alias("items_sha256"),
         ((hit > 0) & (20 * hit >= F.col("d.n_words"))).alias("contaminated"),
+        "d.text_hash",
     )

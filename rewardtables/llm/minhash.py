@@ -75,13 +75,18 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(words)))
 
 
+def set_key(values: np.ndarray) -> bytes:
+    """Digest of a whole set."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, keys, sketches = [], [], []
         for text in batch.column(1).to_pylist():
             values = shingle_set(text)
             sizes.append(len(values))
-            keys.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+            keys.append(set_key(values))
             sketches.append(values[:K].view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [
@@ -99,7 +104,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets = [], []
         for text in batch.column(1).to_pylist():
             values = shingle_set(text)
-            keys.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+            keys.append(set_key(values))
             sets.append(values.view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
@@ -223,7 +228,7 @@ def near_links(docs: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def minhash_dedup(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, n_shingles, component_id, kept, key (digest of its set)."""
     base = staged(
         docs.select("doc_id", "text").mapInArrow(
             _sketches, "doc_id long, n_shingles long, key binary, sketch array<long>"
@@ -244,6 +249,6 @@ def class_components(base: DataFrame, part: DataFrame) -> DataFrame:
     return (
         base.drop("sketch")
         .join(named, "key", "left")
-        .select("doc_id", "n_shingles", alone.alias("component_id"))
+        .select("doc_id", "n_shingles", alone.alias("component_id"), "key")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

@@ -1,7 +1,7 @@
 """Places of keys that several documents hold, for any key function of a text.
 
-Texts are scanned once; a task keeps the (key, document, place) entries of some millions of keys
-and sorts them. A key that two of its documents hold is known to be shared: its places
+Texts are scanned once; a task keeps the (key, document, place) entries of ``TASK_KEYS`` keys and
+sorts them. A key that two of its documents hold is known to be shared: its places
 are told, and one entry stands for them all; other keys are sent with all places, which one document
 has. So a key held by any number of documents costs its bucket an entry per task. Entries travel
 packed by bucket, 32 bits of the key each; a bucket has about ``BUCKET_KEYS`` entries. Keys that agree
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TASK_KEYS = 2_500_000
+TASK_KEYS = 1_000_000
 BUCKET_KEYS = 1_000_000
 
 #: texts to (index of the text, key, place), keys being well mixed 64-bit numbers

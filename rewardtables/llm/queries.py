@@ -13,8 +13,10 @@ from rewardtables.llm.decontaminate import decontaminate
 from rewardtables.llm.embedding import embedding_dedup
 from rewardtables.llm.html_text import extract_pages
 from rewardtables.llm.minhash import minhash_dedup
+from rewardtables.llm.oracles import oracle_sql as oracle_sql
 from rewardtables.llm.packing import pack_documents
 from rewardtables.llm.quality import quality_scores
+from rewardtables.llm.substring import substring_dedup
 from rewardtables.llm.suffix_dedup import suffix_dedup
 from rewardtables.llm.token_codes import token_codes
 
@@ -31,12 +33,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its words inside benchmark windows."""
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate component."""
-    return minhash_dedup(table(spark, sf_dir, "documents"))
+    return minhash_dedup(table(spark, sf_dir, "documents")).drop("key")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +47,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fuzzy repeated passages."""
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one of control strings, as read back from its format."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -77,14 +85,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_decontaminate": op3_decontaminate,
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_chat_format": op6_chat_format,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_codes": op8_token_codes,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extract": op10_html_extract,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    """Equivalent DuckDB SQL, where SQL can express the operator."""
-    return {}

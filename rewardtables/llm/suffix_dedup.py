@@ -3,10 +3,11 @@
 Any string of ``SPAN`` bytes holds an anchor: the 24 bytes of least hash in it. Anchors that several
 documents hold are found by ``places.shared_places``; bytes that no shared anchor is near
 repeat nowhere. Around a shared anchor a document's context reaches as far as a string of SPAN bytes
-with the anchor in it can. Contexts are counted as distinct strings per anchor; those of an anchor with
-several are joined to texts of about ``TEXT_BYTES``, whose suffixes ``suffixes.suffix_array`` sorts by
-linear grouping. Neighbours that agree on SPAN bytes are a repeat; its least doc_id is what all
-its places are judged by. An anchor with more than ``MANY`` distinct contexts (a short
+with the anchor in it can. Contexts are counted as distinct strings per anchor, each with its least
+doc_id. What the contexts of one anchor can share is cut out: as far to the right and to the
+left as the next in order agrees. These strings are joined to texts of about ``TEXT_BYTES``, whose
+suffixes ``suffixes.suffix_array`` sorts by linear grouping. Neighbours that agree on SPAN
+bytes are a repeat; its least doc_id is what all its places are judged by. An anchor with more than ``MANY`` distinct contexts (a short
 line that stands in very many documents) is spread: its SPAN-byte strings are grouped by Spark, with
 partial minima, and come to the same least doc_id.
 
@@ -28,9 +29,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rewardtables.llm.common import FEW_ROWS, few_rows
+from rewardtables.llm.distinct import distinct_texts
 from rewardtables.llm.minhash import mixed
 from rewardtables.llm.places import shared_places, window_minima
 from rewardtables.llm.suffixes import suffix_array
@@ -40,7 +41,8 @@ SPAN = 50
 ANCHOR = 24
 TEXT_BYTES = 1 << 16
 MANY = 20_000
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
+STEP = 256
 
 
 def _raw(text: str) -> bytes:
@@ -78,31 +80,34 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts of the shared anchors of every document."""
     from xxhash import xxh3_64_intdigest
 
-    for batch in batches:
-        anchor, cx, doc, nth, start, context = [], [], [], [], [], []
-        for name, twin, text, places in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-            raw = _raw(text)
-            n = len(raw)
-            for a in places:
-                lo = max(0, a + ANCHOR - SPAN)
-                part = raw[lo : a + SPAN]
-                anchor.append(xxh3_64_intdigest(raw[a : a + ANCHOR]))
-                cx.append(xxh3_64_intdigest(part))
-                start.append(lo)
-                context.append(part)
-            doc += [name] * len(places)
-            nth += [twin] * len(places)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.array(anchor, dtype=np.uint64).view(np.int64)),
-                pa.array(np.array(cx, dtype=np.uint64).view(np.int64)),
-                pa.array(doc, pa.int64()),
-                pa.array(nth, pa.int32()),
-                pa.array(start, pa.int32()),
-                pa.array(context, pa.binary()),
-            ],
-            names=["anchor", "cx", "doc_id", "nth", "start", "context"],
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, STEP):
+            batch = whole.slice(at, STEP)
+            anchor, cx, doc, nth, start, before, context = [], [], [], [], [], [], []
+            for name, twin, text, places in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                raw = _raw(text)
+                for a in places:
+                    lo = max(0, a + ANCHOR - SPAN)
+                    part = raw[lo : a + SPAN]
+                    anchor.append(xxh3_64_intdigest(raw[a : a + ANCHOR]))
+                    cx.append(xxh3_64_intdigest(part, a - lo))
+                    start.append(lo)
+                    before.append(a - lo)
+                    context.append(part)
+                doc += [name] * len(places)
+                nth += [twin] * len(places)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.array(anchor, dtype=np.uint64).view(np.int64)),
+                    pa.array(np.array(cx, dtype=np.uint64).view(np.int64)),
+                    pa.array(doc, pa.int64()),
+                    pa.array(nth, pa.int32()),
+                    pa.array(start, pa.int32()),
+                    pa.array(before, pa.int32()),
+                    pa.array(context, pa.binary()),
+                ],
+                names=["anchor", "cx", "doc_id", "nth", "start", "before", "context"],
+            )
 
 
 def least_by_suffixes(contexts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
@@ -134,46 +139,80 @@ _RUNS = pa.schema(
 )
 
 
+def agreement(group: np.ndarray, parts: list[bytes], width: int) -> np.ndarray:
+    """How many first bytes each part shares with another of its group at most."""
+    order = np.array(sorted(range(len(parts)), key=lambda i: (group[i], parts[i])), dtype=np.int64)
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))[order]
+    padded = b"".join([parts[i].ljust(width, b"\0") for i in order.tolist()])
+    table = np.frombuffer(padded, dtype=np.uint8).reshape(-1, width)
+    shared = np.logical_and.accumulate(table[1:] == table[:-1], axis=1).sum(1)
+    shared = np.minimum(shared, np.minimum(sizes[1:], sizes[:-1]))
+    shared[group[order[1:]] != group[order[:-1]]] = 0
+    out = np.zeros(len(parts), dtype=np.int64)
+    out[order] = np.maximum(np.append(shared, 0), np.insert(shared, 0, 0))
+    return out
+
+
+def _repeated(group: np.ndarray, lo: np.ndarray, before: np.ndarray, contexts: list[bytes]):
+    """(row, first start, least doc_id of every start) where contexts of a group may share strings."""
+    right = agreement(group, [c[k:] for c, k in zip(contexts, before.tolist(), strict=True)], SPAN)
+    left = agreement(group, [c[:k][::-1] for c, k in zip(contexts, before.tolist(), strict=True)], SPAN - ANCHOR)
+    rows = np.flatnonzero(left + right >= SPAN).tolist()
+    number: dict[tuple[int, bytes], int] = {}
+    strings: list[bytes] = []
+    least: list[int] = []
+    of: list[int] = []
+    for i in rows:
+        key = (int(group[i]), contexts[i][before[i] - left[i] : before[i] + right[i]])
+        n = number.setdefault(key, len(strings))
+        if n == len(strings):
+            strings.append(key[1])
+            least.append(int(lo[i]))
+        least[n] = min(least[n], int(lo[i]))
+        of.append(n)
+    found: list[np.ndarray] = [np.full(len(c) - SPAN + 1, m) for c, m in zip(strings, least, strict=True)]
+    groups = np.array([g for g, _ in number], dtype=np.int64)
+    several = np.flatnonzero(np.bincount(groups)[groups] > 1).tolist() if len(groups) else []
+    held, size = [], 0
+    for k, n in enumerate(several):
+        held.append(n)
+        size += len(strings[n])
+        if size >= TEXT_BYTES and (k + 1 == len(several) or groups[several[k + 1]] != groups[n]) or k + 1 == len(several):
+            numbers = np.array([least[n] for n in held], dtype=np.int64)
+            for m, values in zip(held, least_by_suffixes([strings[m] for m in held], numbers), strict=True):
+                found[m] = values
+            held, size = [], 0
+    for i, n in zip(rows, of, strict=True):
+        yield i, int(before[i] - left[i]), found[n]
+
+
 def _sorted_groups(block: pa.Table) -> pa.Table:
     """Runs of strings in every context that a smaller document holds, too."""
     block = block.sort_by([("anchor", "ascending"), ("cx", "ascending")])
-    anchor = block.column("anchor").to_numpy()
-    cx = block.column("cx").to_numpy()
-    lo = block.column("lo").to_numpy()
-    hi = block.column("hi").to_numpy()
+    anchor, cx, lo, hi, before = (block.column(c).to_numpy() for c in ("anchor", "cx", "lo", "hi", "before"))
     contexts = block.column("context").to_pylist()
-    begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    stop = np.append(begin[1:], len(anchor))
+    first = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    group = np.cumsum(first) - 1
+    several = np.flatnonzero(np.bincount(group)[group] > 1)
+    starts = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts)) - SPAN + 1
     rows: list[tuple[np.ndarray, ...]] = []
-    # one context only: all its strings repeat where it does
-    alone = begin[(stop - begin == 1)]
-    alone = alone[lo[alone] < hi[alone]]
-    sizes = np.fromiter((len(contexts[i]) for i in alone), dtype=np.int64, count=len(alone))
-    rows.append((alone, np.zeros(len(alone), np.int64), sizes - SPAN, lo[alone]))
-    held: list[int] = []
-    size = 0
-
-    def flush() -> None:
-        for i, least in zip(held, least_by_suffixes([contexts[i] for i in held], lo[held]), strict=True):
-            cuts = np.flatnonzero(np.diff(least)) + 1
-            first = np.concatenate([[0], cuts])
-            last = np.append(cuts, len(least)) - 1
-            low = least[first]
-            keep = low < hi[i]
-            if keep.any():
-                rows.append((np.full(keep.sum(), i), first[keep], last[keep], low[keep]))
-
-    for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
-        if b - a > 1:
-            held += range(a, b)
-            size += sum(map(len, contexts[a:b]))
-            if size >= TEXT_BYTES:
-                flush()
-                held, size = [], 0
-    if held:
-        flush()
-    i, first, last, least = (np.concatenate(c) for c in zip(*rows, strict=True))
-    columns = (anchor[i], cx[i], first, last, least)
+    plain = lo < hi  # all strings of a context repeat among the documents that hold it whole
+    some = several.tolist()
+    for k, at, values in _repeated(group[several], lo[several], before[several], [contexts[i] for i in some]):
+        i = some[k]
+        least = np.full(starts[i], lo[i])
+        least[at : at + len(values)] = np.minimum(values, lo[i])
+        begin = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
+        low = least[begin]
+        keep = low < hi[i]
+        if keep.any():
+            last = np.append(begin[1:], starts[i]) - 1
+            rows.append((np.full(keep.sum(), i), begin[keep], last[keep], low[keep]))
+        plain[i] = False
+    alone = np.flatnonzero(plain)
+    rows.append((alone, np.zeros(len(alone), np.int64), starts[alone] - 1, lo[alone]))
+    i, begin, last, least = (np.concatenate(c) for c in zip(*rows, strict=True))
+    columns = (anchor[i], cx[i], begin, last, least)
     return pa.Table.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, _RUNS, strict=True)], schema=_RUNS
     )
@@ -197,44 +236,32 @@ def _spread(contexts: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Base rows (doc_id, nth, digest, n_bytes, copied), and (doc_id, nth, spans) to remove."""
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").alias("n_bytes"))
-    base = staged(base.distinct(), "digests")
-    least = base.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    copies = base.join(least, "digest").where("doc_id > least").select("doc_id", "digest")
-    again = base.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest"))
-    twins = base.join(again, "doc_id").select("doc_id", "digest", rank.alias("nth")).where("nth > 1")
-    copies, twins = few_rows(copies), few_rows(twins)
+    """(base, spans): distinct texts with n_bytes, and what to remove of each (doc_id, nth)."""
+    base, texts = distinct_texts(docs, F.octet_length("text").alias("n_bytes"))
     n_bytes = base.agg(F.sum("n_bytes")).first()[0] or 0
-
-    texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    texts = texts.withColumn("digest", F.md5(F.col("text").cast("binary")))
-    texts = texts.join(copies, ["doc_id", "digest"], "left_anti")
-    texts = texts.join(twins, ["doc_id", "digest"], "left").select(
-        "doc_id", F.coalesce("nth", F.lit(1)).alias("nth"), "text"
-    )
     places = shared_places(texts, anchors, n_bytes * 2 / (SPAN - ANCHOR + 2))
     places = places.groupBy("doc_id", "nth").agg(F.collect_list("place").alias("places"))
-    near = texts.join(places, ["doc_id", "nth"])
     found = staged(
-        near.mapInArrow(
-            _contexts, "anchor long, cx long, doc_id long, nth int, start int, context binary"
+        texts.join(places, ["doc_id", "nth"]).mapInArrow(
+            _contexts,
+            "anchor long, cx long, doc_id long, nth int, start int, before int, context binary",
         ),
         "contexts",
     )
     contexts = staged(
         found.groupBy("anchor", "cx").agg(
-            F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.first("context").alias("context")
+            F.min("doc_id").alias("lo"),
+            F.max("doc_id").alias("hi"),
+            F.first("before").alias("before"),
+            F.first("context").alias("context"),
         ),
         "distinct-contexts",
     )
     many = few_rows(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where(f"n > {MANY}").select("anchor"))
     size = contexts.agg(F.sum(F.length("context"))).first()[0] or 0
     groups = max(64, size // GROUP_BYTES)
-    cold = contexts.join(many, "anchor", "left_anti").withColumn("group", F.pmod("anchor", F.lit(groups)))
-    runs = cold.groupBy("group").applyInArrow(
+    few = contexts.join(many, "anchor", "left_anti").withColumn("group", F.pmod("anchor", F.lit(groups)))
+    runs = few.groupBy("group").applyInArrow(
         _sorted_groups, "anchor long, cx long, first int, last int, least long"
     )
     runs = runs.unionByName(_spread(contexts.join(many, "anchor", "left_semi")))
@@ -245,12 +272,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("doc_id", "nth")
         .agg(
             F.collect_list(
-                F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + SPAN).alias("b"))
+                F.struct(
+                    (F.col("start") + F.col("first")).alias("a"),
+                    (F.col("start") + F.col("last") + SPAN).alias("b"),
+                )
             ).alias("spans")
         )
     )
-    base = base.join(twins, ["doc_id", "digest"], "left").withColumn("nth", F.coalesce("nth", F.lit(1)))
-    base = base.join(copies.withColumn("copied", F.lit(True)), ["doc_id", "digest"], "left")
     return base, spans
 
 
@@ -280,7 +308,7 @@ def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
 
     base, spans = repeats(docs)
     spans = spans.select("doc_id", "nth", runs("spans").alias("_spans"))
-    whole = F.when(F.col("copied") & (F.col("n_bytes") >= SPAN), F.array(F.lit(0), F.col("n_bytes")))
+    whole = F.when((F.col("doc_id") > F.col("least")) & (F.col("n_bytes") >= SPAN), F.array(F.lit(0), F.col("n_bytes")))
     marked = staged(
         base.join(spans, ["doc_id", "nth"], "left")
         .select("doc_id", "digest", F.coalesce(whole, "_spans").alias("_spans"))
