@@ -12,6 +12,7 @@ _END_OF_TURN = "<|eot_id|>"
 
 _ASCII_SPACES = " \t\n\x0b\f\r"
 _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
+_TOKEN = "[^ \\t\\n\\x0B\\f\\r]+"
 
 
 def render_chat(messages: Column, add_generation: bool = True) -> Column:
@@ -44,10 +45,11 @@ def keep_last(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) <= n, tokens).otherwise(F.slice(tokens, -n, n))
 
 
-def truncate_text(text: Column, tokens: Column, n: int) -> Column:
-    """Join the last ``n`` of a text's tokens by spaces; shorter texts stay untouched.
-
-    Give columns, not expressions: both are used more than once.
-    """
-    tail = F.array_join(F.slice(tokens, -n, n), " ")
-    return F.when(F.size(tokens) <= n, text).otherwise(tail)
+def last_tokens(text: Column, n: int) -> Column:
+    """The text from its n-th last token on, white space and all; shorter texts stay untouched."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    tokens = F.slice(whitespace_tokens(text), -n, n)
+    gaps = F.slice(F.split(text, _TOKEN), -n, n)  # behind each of these tokens
+    size = F.length(F.array_join(tokens, "")) + F.length(F.array_join(gaps, ""))
+    return F.when(F.regexp_count(text, F.lit(_TOKEN)) <= n, text).otherwise(F.right(text, size))

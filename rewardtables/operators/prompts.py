@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Protocol
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rewardtables.constants import (
-    BENCHMARK_ROWS,
-    MAX_PROMPT_TOKENS,
-    RISK_SYSTEM_PROMPT,
-    SYSTEM_PROMPT,
-)
-from rewardtables.functions.chat import render_chat, truncate_text, whitespace_tokens
+from rewardtables.constants import RISK_SYSTEM_PROMPT, SYSTEM_PROMPT
+from rewardtables.functions.chat import last_tokens, render_chat
 from rewardtables.functions.text import hash_answer, message
 
 
@@ -36,58 +34,67 @@ def prepare_qa(
     )
 
 
-def _tokenizer_tail(tokenizer, max_tokens: int):
-    """Arrow-batched truncation with a caller's tokenizer (``encode`` and ``decode``)."""
+class Tokenizer(Protocol):
+    """What a caller's tokenizer must do: whole lists at once, without special tokens."""
+
+    def encode_batch(self, texts: list[str]) -> list[list]: ...
+
+    def decode_batch(self, ids: list[list]) -> list[str]: ...
+
+
+def _arrow_tail(tokenizer: Tokenizer, max_tokens: int):
+    """One encode and one decode call per Arrow batch; only texts that are too long change."""
 
     @F.pandas_udf("string")
     def tail(texts: pd.Series) -> pd.Series:
-        def cut(text):
-            if text is None:
-                return None
-            ids = tokenizer.encode(text)
-            return text if len(ids) <= max_tokens else tokenizer.decode(ids[-max_tokens:])
-
-        return texts.map(cut)
+        present = texts[texts.notna()]
+        ids = pd.Series(tokenizer.encode_batch(present.tolist()), index=present.index, dtype=object)
+        long = ids[ids.map(len) > max_tokens]
+        out = texts.copy()
+        if len(long):
+            out[long.index] = tokenizer.decode_batch([x[-max_tokens:] for x in long])
+        return out
 
     return tail
 
 
 def format_prompts(
     df: DataFrame,
+    max_tokens: int | None,
     system_prompt: str = RISK_SYSTEM_PROMPT,
-    max_tokens: int = MAX_PROMPT_TOKENS,
-    tokenizer=None,
+    tokenizer: Tokenizer | None = None,
+    render: Callable[[Column], Column] = render_chat,
     prompt: str = "prompt",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Render system and user message and keep the last ``max_tokens`` tokens.
+    """Render system and user message and keep the last ``max_tokens`` tokens, None for all.
 
-    Returns ``prompt`` (and the columns named in ``keep``). Tokens are
-    white-space separated unless a tokenizer is given.
+    Returns ``prompt`` (and the columns named in ``keep``). Tokens are white-space
+    separated, and what is kept of a text keeps its white space, unless a tokenizer is given.
+    ``render`` turns the message list into a string; a tokenizer's own chat template goes
+    there.
     """
-    if max_tokens < 1:
+    if max_tokens is not None and max_tokens < 1:
         raise ValueError("max_tokens must be at least 1")
-    rendered = render_chat(chat_messages(F.col(prompt), system_prompt))
+    rendered = render(chat_messages(F.col(prompt), system_prompt))
     df = df.select(*keep, rendered.alias("__chat"))
-    if tokenizer is None:
-        df = df.withColumn("__tokens", whitespace_tokens(F.col("__chat")))
-        out = truncate_text(F.col("__chat"), F.col("__tokens"), max_tokens)
-    else:
-        out = _tokenizer_tail(tokenizer, max_tokens)(F.col("__chat"))
+    out = F.col("__chat")
+    if max_tokens is not None:
+        out = last_tokens(out, max_tokens) if tokenizer is None else _arrow_tail(tokenizer, max_tokens)(out)
     return df.select(*keep, out.alias("prompt"))
 
 
 def instruction_prompt(
     df: DataFrame,
     order_key: str,
-    limit: int | None = BENCHMARK_ROWS,
+    limit: int | None = None,
     instruction: str = "instruction",
     input: str = "input",
 ) -> DataFrame:
-    """Add ``prompt`` = instruction, line feed, input for the first ``limit`` rows by ``order_key``.
+    """Add ``prompt`` = instruction, line feed, input.
 
-    ``limit=None`` takes every row. The limit is a top-k over the key, so no
-    full sort takes place.
+    Every row is taken, or the first ``limit`` by ``order_key``: a top-k over the key,
+    without a full sort.
     """
     if limit is not None:
         df = df.orderBy(order_key).limit(limit)

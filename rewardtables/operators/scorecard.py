@@ -61,10 +61,12 @@ def pair(completions: DataFrame, answers: DataFrame, key: str | Sequence[str]) -
     return completions.join(answers, [key] if isinstance(key, str) else list(key), "inner")
 
 
-def scorecard(df: DataFrame, names: Sequence[str], **cols: str) -> DataFrame:
-    """Add ``reward_<name>`` for each registered reward, and their sum ``reward_total``.
+def scorecard(
+    df: DataFrame, names: Sequence[str], own: Mapping[str, Reward] | None = None, **cols: str
+) -> DataFrame:
+    """Add ``reward_<name>`` for each named reward, and their sum ``reward_total``.
 
-    ``cols`` renames inputs (``completion="text"``). Rewards see ``completion``
+    ``own`` has rewards that only this call knows, beside the registered ones. ``cols`` renames inputs (``completion="text"``). Rewards see ``completion``
     as text and the untouched column as ``raw_completion``.
     """
     source = {"completion": "completion", **cols}
@@ -72,7 +74,8 @@ def scorecard(df: DataFrame, names: Sequence[str], **cols: str) -> DataFrame:
     inputs.update({name: F.col(column) for name, column in cols.items()})
     inputs["raw_completion"] = F.col(source["completion"])
     inputs["completion"] = completion_text(df, source["completion"])
-    scored = df.withColumns({f"reward_{n}": _REGISTRY[n](inputs) for n in names})
+    known = {**_REGISTRY, **(own or {})}
+    scored = df.withColumns({f"reward_{n}": known[n](inputs) for n in names})
     total = reduce(lambda a, b: a + b, [F.col(f"reward_{n}") for n in names])
     return scored.withColumn("reward_total", total)
 

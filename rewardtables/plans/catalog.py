@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardtables.constants import BAND_ORDINALS, RISK_LEVELS
+from rewardtables.constants import BAND_ORDINALS, BENCHMARK_ROWS, MAX_PROMPT_TOKENS, RISK_LEVELS
 from rewardtables.functions import bands, chat, rewards, text, tokens
 from rewardtables.operators import (
     folds,
@@ -120,8 +120,9 @@ def python_reward(spark, sf_dir):
         return [float(c[0]["content"].count("</")) for c in completions]
 
     reward = scorecard.python_reward(closing_tags, {"completions": "raw_completion"})
-    scorecard.register("closing_tags", reward)
-    scored = scorecard.scorecard(fixtures.nested_completions(spark, sf_dir), ["closing_tags"])
+    scored = scorecard.scorecard(
+        fixtures.nested_completions(spark, sf_dir), ["closing_tags"], own={"closing_tags": reward}
+    )
     return scored.select("conv_id", "turn", F.col("reward_closing_tags").alias("reward"))
 
 
@@ -161,7 +162,7 @@ def prompt_tail_truncate(spark, sf_dir):
 @_query
 def format_prompts(spark, sf_dir):
     docs = fixtures.table(spark, sf_dir, "documents").withColumnRenamed("text", "prompt")
-    return prompts.format_prompts(docs, keep=("doc_id",))
+    return prompts.format_prompts(docs, MAX_PROMPT_TOKENS, keep=("doc_id",))
 
 
 @_query
@@ -169,41 +170,42 @@ def tokenizer_tail_truncate(spark, sf_dir):
     """The same with a tokenizer plugged in: one token per character, the last 500 kept."""
 
     class Characters:
-        def encode(self, text):
-            return list(text)
+        def encode_batch(self, texts):
+            return [list(text) for text in texts]
 
-        def decode(self, ids):
-            return "".join(ids)
+        def decode_batch(self, ids):
+            return ["".join(x) for x in ids]
 
     docs = fixtures.table(spark, sf_dir, "documents").withColumnRenamed("text", "prompt")
     return prompts.format_prompts(
-        docs, max_tokens=500, tokenizer=Characters(), keep=("doc_id",)
+        docs, 500, tokenizer=Characters(), keep=("doc_id",)
     )
 
 
 @_query
 def instruction_concat_first_n(spark, sf_dir):
     bench = fixtures.bench(spark, sf_dir)
-    return prompts.instruction_prompt(bench, "item_key").select("item_key", "prompt")
+    first = prompts.instruction_prompt(bench, "item_key", limit=BENCHMARK_ROWS)
+    return first.select("item_key", "prompt")
 
 
 @_query
 def benchmark_result_rows(spark, sf_dir):
-    first = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
-    return metrics.exact_match_rows(first).select(
+    every = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
+    return metrics.exact_match_rows(every).select(
         "item_key", "prompt", "prediction", F.col("output").alias("answer"), "correct"
     )
 
 
 @_query
 def benchmark_exact_match(spark, sf_dir):
-    first = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
-    return _rounded(metrics.exact_match(first), "accuracy")
+    every = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
+    return _rounded(metrics.exact_match(every), "accuracy")
 
 
 @_query
 def benchmark_exact_match_all(spark, sf_dir):
-    every = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key", limit=None)
+    every = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
     return _rounded(metrics.exact_match(every, by=["instruction"]), "accuracy")
 
 
@@ -374,19 +376,19 @@ def append_fold_records(spark, sf_dir):
 def fold_file_summary(spark, sf_dir):
     """The same through one JSON file per fold."""
     base = scratch.scratch_dir(spark, "folds")
-    fold_files.write_fold_metrics(fixtures.fold_metrics(spark, sf_dir), base)
+    fold_files.write_fold_metrics(fixtures.fold_metrics(spark, sf_dir, missing=3), base)
     read = fold_files.read_fold_metrics(spark, base, 5)
     return _rounded(folds.summarise(read), "mean", "std_dev")
 
 
 @_query
 def missing_folds(spark, sf_dir):
-    return folds.missing_folds(fixtures.fold_metrics(spark, sf_dir), 5)
+    return folds.missing_folds(fixtures.fold_metrics(spark, sf_dir, missing=3), 5)
 
 
 @_query
 def fold_status(spark, sf_dir):
-    return folds.fold_status(fixtures.fold_metrics(spark, sf_dir), 5)
+    return folds.fold_status(fixtures.fold_metrics(spark, sf_dir, missing=3), 5)
 
 
 @_query
@@ -501,9 +503,9 @@ def periodic_eval(spark, sf_dir):
 
 @_query
 def windowed_eval(spark, sf_dir):
-    """The streaming evaluation's plan over the batch table: one-day windows, half of the rows."""
+    """The streaming evaluation's plan over the batch table: one-day windows."""
     df = fixtures.rollouts(spark, sf_dir)
-    out = periodic.periodic_eval_stream(df, "ts", "1 day", "1 hour", fraction=0.5)
+    out = periodic.periodic_eval_stream(df, "ts", "1 day", "1 hour")
     day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
     return _rounded(out, *_MEANS).select(day, "n", *_MEANS)
 
@@ -513,7 +515,7 @@ def streaming_eval(spark, sf_dir):
     """The same evaluation as a stream over the events, run to its end."""
     base = scratch.scratch_dir(spark, "windows")
     stream = fixtures.rollout_stream(spark, sf_dir)
-    windows = periodic.periodic_eval_stream(stream, "ts", "1 day", "1 hour", fraction=0.5)
+    windows = periodic.periodic_eval_stream(stream, "ts", "1 day", "1 hour")
     query = periodic.start_windows(
         windows, f"{base}/out", f"{base}/state", complete=True, availableNow=True
     )
@@ -540,6 +542,14 @@ def forward_return(spark, sf_dir):
     )
 
 
+@_query
+def forward_return_gaps(spark, sf_dir):
+    """A month without its counterpart has no return; it borrows none from a neighbour."""
+    df = fixtures.series(spark, sf_dir, gaps=True)
+    out = labels.forward_return(df, "ticker", "month", "price", 12)
+    return _rounded(out, "forward_return").select("ticker", _month(), "forward_return")
+
+
 @_query
 def forward_volatility(spark, sf_dir):
     df = fixtures.series(spark, sf_dir)
@@ -569,7 +579,7 @@ def history_window(spark, sf_dir):
         F.col("o_orderkey").alias("n_orders"),
     )
     volume = labels.monthly_prices(orders, "ticker", "month", "n_orders", how=F.count)
-    history = labels.history(series, "ticker", "month", ["price"], years=3)
+    history = labels.history(series, "ticker", "month", ["price"], years=20)
     merged = labels.merge(history, volume, ["ticker", "month"])
     months = F.transform("history", lambda h: F.date_format(h["month"], "yyyyMM"))
     total = F.aggregate("history", F.lit(0.0), lambda acc, h: acc + h["price"])

@@ -191,8 +191,8 @@ def band_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide metrics of five folds without fold 3."""
+def fold_records(spark: SparkSession, sf_dir: str, missing: int | None = None) -> DataFrame:
+    """Wide metrics of five folds, or of all but the missing one."""
     fold = (key_hash(42, F.col("doc_id")) % 5).cast("int")
     hit = (F.col("gt_ret_1y") == F.col("pred_ret_1y")).cast("double")
     wide = predictions(spark, sf_dir).groupBy(fold.alias("fold")).agg(
@@ -200,15 +200,15 @@ def fold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg(F.when(F.col("gt_ret_1y") == "good", hit)).alias("accuracy_good"),
         F.count(F.lit(1)).cast("double").alias("n_rows"),
     )
-    return wide.where(F.col("fold") != 3)
+    return wide if missing is None else wide.where(F.col("fold") != missing)
 
 
-def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fold_metrics(spark: SparkSession, sf_dir: str, missing: int | None = None) -> DataFrame:
     """The same in long form, with one metric missing in fold 0 and NaN in fold 1."""
     nan = F.lit(float("nan"))
     value = F.when((F.col("fold") == 1) & (F.col("metric") == "accuracy_good"), nan)
     return (
-        fold_records(spark, sf_dir)
+        fold_records(spark, sf_dir, missing)
         .unpivot("fold", ["accuracy", "accuracy_good", "n_rows"], "metric", "value")
         .where((F.col("fold") != 0) | (F.col("metric") != "accuracy_good"))
         .withColumn("value", value.otherwise(F.col("value")))
@@ -285,15 +285,16 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly prices per ticker; one ticker lacks some months."""
+def series(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Monthly prices per ticker; with gaps, one ticker lacks some months."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("ticker"), F.col("o_orderdate").alias("month"),
         F.col("o_totalprice").alias("price"),
     )
     gap = (F.year("month") * 12 + F.month("month")) % 17 == 0
-    kept = orders.where(~((F.col("ticker") == "5-LOW") & gap))
-    return labels.monthly_prices(kept, "ticker", "month", "price")
+    if gaps:
+        orders = orders.where(~((F.col("ticker") == "5-LOW") & gap))
+    return labels.monthly_prices(orders, "ticker", "month", "price")
 
 
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,8 +197,9 @@ _CTES = {
           struct_pack(metric := 'n_rows', value := count(*)::double)], recursive := true)
         from (select cast({_hash52("'42:'||doc_id")} % 5 as int) as fold, gt_ret_1y,
           (gt_ret_1y = pred_ret_1y)::int::double as hit from predictions)
-        where fold <> 3 group by fold)
+        group by fold)
       where not (fold = 0 and metric = 'accuracy_good')""",
+    "fold_metrics_gap": "select * from fold_metrics where fold <> 3",
     "rollouts": f"""
       select event_id, event_id // 7 as grp, value as reward, ts,
         case when event_id % 3 = 1 then '> ' else '' end||{_cot('props', 'event_type')} as completion,
@@ -226,9 +227,10 @@ _CTES = {
       select o_orderpriority as ticker, cast(date_trunc('month', o_orderdate) as date) as month,
         avg(o_totalprice) as price
       from orders
-      where not (o_orderpriority = '5-LOW'
-        and (year(o_orderdate) * 12 + month(o_orderdate)) % 17 = 0)
       group by 1, 2""",
+    "series_gaps": """
+      select * from series
+      where not (ticker = '5-LOW' and (year(month) * 12 + month(month)) % 17 = 0)""",
     "returns": """
       select a.*, a.price / b.price as ratio, case when a.price / b.price > 0
         then ln(a.price / b.price) end as log_return
@@ -260,6 +262,8 @@ _NEEDS = {
     "parsed_pairs": ["parsed"],
     "horizon_pairs": ["predictions"],
     "fold_metrics": ["predictions"],
+    "fold_metrics_gap": ["fold_metrics"],
+    "series_gaps": ["series"],
     "sequences": ["responses"],
     "padded": ["sequences"],
     "returns": ["series"],
@@ -408,8 +412,10 @@ def oracle_sql() -> dict[str, str]:
             from (select doc_id, {_words('text')} as words from documents)""",
         "format_prompts": f"""
             select doc_id, case when len(words) <= 2048 then chat
-              else array_to_string(words[-2048:], ' ') end as prompt
-            from (select doc_id, chat, {_words('chat')} as words
+              else right(chat, length(array_to_string(words[-2048:], ''))
+                + length(array_to_string(gaps[-2048:], ''))) end as prompt
+            from (select doc_id, chat, {_words('chat')} as words,
+                string_split_regex(chat, '[^ \\t\\n\\x0B\\f\\r]+') as gaps
               from (select doc_id, {_chat(RISK_SYSTEM_PROMPT, 'text')} as chat from documents))""",
         "tokenizer_tail_truncate": f"""
             select doc_id, right({_chat(RISK_SYSTEM_PROMPT, 'text')}, 500) as prompt from documents""",
@@ -422,13 +428,13 @@ def oracle_sql() -> dict[str, str]:
             f"""select item_key, instruction||{_NL}||input as prompt, prediction,
                 output as answer, lower(prediction) = lower(output) as correct
               from (select *, {_strip("split_part(generated, '[/INST]', -1)")} as prediction
-                from bench order by item_key limit 100)""",
+                from bench)""",
             "bench",
         ),
         "benchmark_exact_match": _with(
             f"""select count(*) as n, sum(hit)::bigint as n_correct, {_r6('avg(hit)')} as accuracy
               from (select ({_strip("lower(split_part(generated, '[/INST]', -1))")} = lower(output))::bigint
-                as hit from bench order by item_key limit 100)""",
+                as hit from bench)""",
             "bench",
         ),
         "benchmark_exact_match_all": _with(
@@ -518,17 +524,17 @@ def oracle_sql() -> dict[str, str]:
             "qa",
         ),
         "fold_file_summary": _with(
-            summary + "from with_nan group by metric", "fold_metrics", with_nan=fold_nan
+            summary + "from with_nan where fold <> 3 group by metric", "fold_metrics", with_nan=fold_nan
         ),
         "missing_folds": _with(
             """select i::int as fold from range(5) t(i)
-              where i not in (select fold from fold_metrics)""",
-            "fold_metrics",
+              where i not in (select fold from fold_metrics_gap)""",
+            "fold_metrics_gap",
         ),
         "fold_status": _with(
-            """select i::int as fold, i in (select fold from fold_metrics) as found
+            """select i::int as fold, i in (select fold from fold_metrics_gap) as found
               from range(5) t(i)""",
-            "fold_metrics",
+            "fold_metrics_gap",
         ),
         "result_sink_roundtrip": _with(
             "select doc_id, gt_ret_1y, gt_vol_1y, pred_ret_1y, pred_vol_1y from predictions",
@@ -604,15 +610,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "windowed_eval": _with(
             f"""select strftime(cast(ts as date), '%Y-%m-%d') as day, {_MEASURES}
-              from (select ts, {_SCORES} from rollouts
-                where {_hash52("'42:'||event_id")} / 4503599627370496.0::double < 0.5)
+              from (select ts, {_SCORES} from rollouts)
               group by 1""",
             "rollouts",
         ),
         "streaming_eval": _with(
             f"""select strftime(cast(ts as date), '%Y-%m-%d') as day, {_MEASURES}
-              from (select ts, {_SCORES} from rollouts
-                where {_hash52("'42:'||event_id")} / 4503599627370496.0::double < 0.5)
+              from (select ts, {_SCORES} from rollouts)
               group by 1""",
             "rollouts",
         ),
@@ -624,6 +628,13 @@ def oracle_sql() -> dict[str, str]:
               left join series c on c.ticker = a.ticker and c.month = a.month + interval 60 month""",
             "series",
         ),
+        "forward_return_gaps": _with(
+            f"""select a.ticker, cast(year(a.month) * 12 + month(a.month) - 1 as int) as month_no,
+                {_r6('b.price / a.price - 1')} as forward_return
+              from series_gaps a
+              left join series_gaps b on b.ticker = a.ticker and b.month = a.month + interval 12 month""",
+            "series_gaps",
+        ),
         "forward_volatility": _with(
             f"select ticker, {long_month}, {_r6('v')} as volatility_1y from volatility", "volatility"
         ),
@@ -646,7 +657,7 @@ def oracle_sql() -> dict[str, str]:
                 count(*)::int as n_months, round(sum(b.price), 2) as price_sum,
                 any_value(m.n_orders) as n_orders
               from series a join series b on b.ticker = a.ticker and b.month <= a.month
-                and b.month > a.month - interval 36 month
+                and b.month > a.month - interval 240 month
               join (select o_orderpriority as ticker, cast(date_trunc('month', o_orderdate) as date)
                 as month, count(*) as n_orders from orders group by all) m
                 on m.ticker = a.ticker and m.month = a.month

@@ -2,8 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
-
 import pytest
 from pyspark.sql import SparkSession
 
@@ -13,7 +11,7 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("rewardtables-tests")
@@ -21,7 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

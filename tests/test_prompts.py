@@ -35,21 +35,25 @@ def test_keep_last(spark):
 class _Letters:
     """A tokenizer with one token per character."""
 
-    def encode(self, text):
-        return list(text)
+    def encode_batch(self, texts):
+        return [list(text) for text in texts]
 
-    def decode(self, ids):
-        return "".join(ids)
+    def decode_batch(self, ids):
+        return ["".join(x) for x in ids]
 
 
 def test_format_prompts(spark):
     df = spark.createDataFrame([(1, "a  b\nc"), (2, None)], "id INT, prompt STRING")
-    whole = prompts.format_prompts(df, keep=("id",)).orderBy("id").collect()
+    whole = prompts.format_prompts(df, None, keep=("id",)).orderBy("id").collect()
     assert RISK_SYSTEM_PROMPT in whole[0]["prompt"] and "a  b\nc" in whole[0]["prompt"]
     assert whole[1]["prompt"] is None
-    assert prompts.format_prompts(df).columns == ["prompt"]
+    assert prompts.format_prompts(df, 2048).columns == ["prompt"]
     tail = prompts.format_prompts(df, max_tokens=2).first()["prompt"]
-    assert tail == "b c<|eot_id|><|start_header_id|>assistant<|end_header_id|>"
+    assert tail == "b\nc<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n"
+    plain = prompts.format_prompts(df, 2, render=lambda m: m[1]["content"]).first()["prompt"]
+    assert plain == "b\nc"
+    with pytest.raises(ValueError):
+        prompts.format_prompts(df, 0)
     own = prompts.format_prompts(df, max_tokens=5, tokenizer=_Letters(), keep=("id",)).orderBy("id").collect()
     assert [r["prompt"] for r in own] == ["_id|>\n"[-5:], None]
 
@@ -59,4 +63,4 @@ def test_instruction_prompt(spark):
     df = spark.createDataFrame(rows, "k INT, instruction STRING, input STRING")
     got = prompts.instruction_prompt(df, "k", limit=2).collect()
     assert [(r["k"], r["prompt"]) for r in got] == [(1, "a\nx"), (2, None)]
-    assert prompts.instruction_prompt(df, "k", limit=None).count() == 3
+    assert prompts.instruction_prompt(df, "k").count() == 3

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from rewardtables.plans import catalog, oracles
 from tests.oracle import connect, spark_rows, sql_rows
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def con(sf_dir):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
     assert set(QUERIES) - set(ORACLES) == {"var_cvar_mixture"}
 
 
