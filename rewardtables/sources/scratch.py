@@ -29,8 +29,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read from there: lineage is cut,
-    costly inputs are computed a single time, lost executors cost a reread."""
+    costly inputs are computed a single time, lost executors cost a reread.
+
+    Shuffle files of what has been written are no longer needed; Spark removes them when
+    the driver collects its garbage, which would otherwise happen at some later time.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
