@@ -63,9 +63,15 @@ def pad_batch(
 
 
 def latest_checkpoint(
-    manifest: DataFrame, run_col: str = "run", name_col: str = "name", is_dir_col: str = "is_dir"
+    manifest: DataFrame,
+    run_col: str = "run",
+    name_col: str = "name",
+    is_dir_col: str = "is_dir",
+    path_col: str = "path",
 ) -> DataFrame:
-    """Per run the directory with the greatest step; runs without a candidate give no row.
+    """Per run the path, name (``latest``) and step of the directory with the greatest step.
+
+    Runs without a candidate give no row.
 
     Steps compare as whole numbers of any length: by digit count, then digits.
     ``step`` itself is a BIGINT, NULL where it does not fit.
@@ -74,7 +80,11 @@ def latest_checkpoint(
     digits = tokens.checkpoint_digits(name).alias("__step")
     candidates = manifest.where(
         F.coalesce(F.col(is_dir_col), F.lit(False)) & name.rlike(tokens.CHECKPOINT_NAME)
-    ).select(run_col, name_col, digits)
-    rank = F.struct(F.length("__step"), F.col("__step"), name)
-    best = candidates.groupBy(run_col).agg(F.max_by(name, rank).alias("latest"))
-    return best.withColumn("step", tokens.checkpoint_step(F.col("latest")))
+    ).select(run_col, name_col, path_col, digits)
+    rank = F.struct(F.length("__step"), F.col("__step"), name, F.col(path_col))
+    best = candidates.groupBy(run_col).agg(F.max(rank).alias("__best"))
+    latest = F.col(f"__best.{name_col}")
+    return best.select(
+        run_col, F.col(f"__best.{path_col}").alias("path"), latest.alias("latest"),
+        tokens.checkpoint_step(latest).alias("step"),
+    )

@@ -48,3 +48,13 @@ def load_split(
     else:
         is_test = key_unit(seed, F.col(key)) < F.lit(float(test_size))
     return df.where(is_test if split == "test" else ~is_test)
+
+
+def fold_sides(
+    df: DataFrame, key: str, k_folds: int, fold_index: int, seed: int = 42, out: str = "side"
+) -> DataFrame:
+    """Add the side that ``load_split`` puts each row on: both sides in one pass."""
+    if not 0 <= fold_index < k_folds:
+        raise ValueError("fold_index must lie in [0, k_folds)")
+    is_test = key_hash(seed, F.col(key)) % F.lit(k_folds) == F.lit(fold_index)
+    return df.withColumn(out, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))

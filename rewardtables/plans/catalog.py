@@ -350,13 +350,7 @@ def holdout_split(spark, sf_dir):
 @_query
 def load_fold_sides(spark, sf_dir):
     df = fixtures.predictions(spark, sf_dir)
-    sides = [
-        splits.load_split(df, "doc_id", side, k_folds=5, fold_index=2).select(
-            "doc_id", F.lit(side).alias("side")
-        )
-        for side in ("train", "test")
-    ]
-    return sides[0].unionByName(sides[1])
+    return splits.fold_sides(df, "doc_id", k_folds=5, fold_index=2).select("doc_id", "side")
 
 
 @_query
@@ -367,7 +361,7 @@ def fold_metric_summary(spark, sf_dir):
 @_query
 def append_fold_records(spark, sf_dir):
     """Wide fold records with differing keys, appended and put in long form."""
-    wide = fixtures.fold_records(spark, sf_dir)
+    wide = scratch.staged(fixtures.fold_records(spark, sf_dir), "records")
     first = wide.where(F.col("fold") == 0).drop("accuracy_good")
     return _rounded(folds.to_long(folds.append_folds(first, wide.where(F.col("fold") != 0))), "value")
 
@@ -421,7 +415,8 @@ def group_relative_advantage(spark, sf_dir):
 def rollout_scoring(spark, sf_dir):
     """Rollouts to training signal: every reward, their sum, its advantage within the group."""
     scored = scorecard.scorecard(fixtures.rollouts(spark, sf_dir), REWARDS)
-    narrow = scored.select("event_id", "grp", "reward_total")
+    # written once: the advantage reads its input twice
+    narrow = scratch.staged(scored.select("event_id", "grp", "reward_total"), "scored")
     return _rounded(rollouts.group_advantage(narrow, "grp", "reward_total"), "advantage")
 
 
@@ -434,6 +429,11 @@ def _sequences(spark, sf_dir) -> DataFrame:
     return rollouts.explode_sequences(df.drop("response"))
 
 
+def _padded(spark, sf_dir) -> DataFrame:
+    # parsed and exploded once; padding reads its input twice
+    return rollouts.pad_batch(scratch.staged(_sequences(spark, sf_dir), "sequences"), "seq", "batch_id", PAD)
+
+
 @_query
 def response_normalise(spark, sf_dir):
     return _sequences(spark, sf_dir).select("event_id", "pos", _ids(F.col("seq")).alias("ids"))
@@ -458,13 +458,13 @@ def positional_pairing(spark, sf_dir):
 
 @_query
 def pad_batch(spark, sf_dir):
-    padded = rollouts.pad_batch(_sequences(spark, sf_dir), "seq", "batch_id", PAD)
+    padded = _padded(spark, sf_dir)
     return padded.select("event_id", "batch_id", "pos", _ids(F.col("padded_ids")).alias("ids"))
 
 
 @_query
 def concat_prompt_completion(spark, sf_dir):
-    padded = rollouts.pad_batch(_sequences(spark, sf_dir), "seq", "batch_id", PAD)
+    padded = _padded(spark, sf_dir)
     joined = tokens.append_ids(F.col("prompt_ids"), F.col("padded_ids"))
     return padded.select("event_id", "pos", _ids(joined).alias("ids"))
 
@@ -487,7 +487,7 @@ def latest_checkpoint(spark, sf_dir):
 @_query
 def checkpoint_steps(spark, sf_dir):
     df = fixtures.checkpoints(spark, sf_dir)
-    return df.select("run", "name", "is_dir", tokens.checkpoint_step(F.col("name")).alias("step"))
+    return df.select("run", "path", "name", "is_dir", tokens.checkpoint_step(F.col("name")).alias("step"))
 
 
 # --- periodic evaluation ------------------------------------------------------
@@ -516,16 +516,27 @@ def streaming_eval(spark, sf_dir):
     base = scratch.scratch_dir(spark, "windows")
     stream = fixtures.rollout_stream(spark, sf_dir)
     windows = periodic.periodic_eval_stream(stream, "ts", "1 day", "1 hour")
-    query = periodic.start_windows(
-        windows, f"{base}/out", f"{base}/state", complete=True, availableNow=True
-    )
+    query = periodic.start_windows(windows, f"{base}/out", f"{base}/state", availableNow=True)
     query.awaitTermination()
-    out = tables.read_table(spark, f"{base}/out", windows.schema)
+    out = periodic.read_windows(spark, f"{base}/out", windows.schema)
     epoch_day = F.floor(F.unix_seconds("window_start") / 86400).cast("int")
     day = F.date_format(F.date_from_unix_date(epoch_day), "yyyy-MM-dd").alias("day")
     return _rounded(out, *_MEANS).select(day, "n", *_MEANS)
 
 
+@_query
+def streaming_sample(spark, sf_dir):
+    """The exact sample per bucket, gathered by a stream over the events."""
+    base = scratch.scratch_dir(spark, "samples")
+    write = periodic.sample_writer(f"{base}/out", "event_id", "event_id")
+    query = (
+        fixtures.rollout_stream(spark, sf_dir).writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return _rounded(periodic.sampled_eval(spark, f"{base}/out", "event_id", "event_id"), *_MEANS)
+
+
 # --- price labels -------------------------------------------------------------
 
 def _month() -> Column:
@@ -554,21 +565,26 @@ def forward_return_gaps(spark, sf_dir):
 def forward_volatility(spark, sf_dir):
     df = fixtures.series(spark, sf_dir)
     out = labels.forward_volatility(df, "ticker", "month", "price", 12, "volatility_1y")
-    return _rounded(out, "volatility_1y").select("ticker", _month(), "volatility_1y")
+    out = labels.forward_volatility(out, "ticker", "month", "price", 60, "volatility_5y")
+    names = ["volatility_1y", "volatility_5y"]
+    return _rounded(out, *names).select("ticker", _month(), *names)
 
 
 @_query
 def return_band(spark, sf_dir):
-    df = labels.forward_return(fixtures.series(spark, sf_dir), "ticker", "month", "price", 12)
-    band = bands.band(F.col("forward_return"), [-0.05, 0.05], ["bad", "neutral", "good"])
-    return df.select("ticker", _month(), band.alias("band"))
+    horizons = {"r1": 12, "r5": 60}
+    df = labels.forward_returns(fixtures.series(spark, sf_dir), "ticker", "month", "price", horizons)
+    one = bands.band(F.col("r1"), [-0.05, 0.05], ["bad", "neutral", "good"])
+    five = bands.band(F.col("r5"), [-0.1, 0.1], ["bad", "neutral", "good"])
+    return df.select("ticker", _month(), one.alias("band_1y"), five.alias("band_5y"))
 
 
 @_query
 def volatility_band(spark, sf_dir):
-    df = labels.forward_volatility(fixtures.series(spark, sf_dir), "ticker", "month", "price", 12)
-    band = bands.band(F.col("forward_volatility"), [0.1, 0.2], ["low", "medium", "high"])
-    return df.select("ticker", _month(), band.alias("band"))
+    df = labels.forward_volatility(fixtures.series(spark, sf_dir), "ticker", "month", "price", 12, "v1")
+    df = labels.forward_volatility(df, "ticker", "month", "price", 60, "v5")
+    one, five = (bands.band(F.col(v), [0.1, 0.2], ["low", "medium", "high"]) for v in ("v1", "v5"))
+    return df.select("ticker", _month(), one.alias("band_1y"), five.alias("band_5y"))
 
 
 @_query

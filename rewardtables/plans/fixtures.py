@@ -222,9 +222,10 @@ def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollouts as a stream over the events file."""
-    reader = spark.readStream.schema(_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
-    return rollouts_from_events(reader.parquet(sf_dir))
+    """The rollouts as a stream over the events, a file or a folder of parts."""
+    # a stream's source must be a folder or a pattern; this one matches either form
+    reader = spark.readStream.schema(_SCHEMAS["events"])
+    return rollouts_from_events(reader.parquet(f"{sf_dir.rstrip('/')}/events.parquet*"))
 
 
 def rollouts_from_events(events: DataFrame) -> DataFrame:
@@ -282,6 +283,9 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 6 == 5, F.concat(F.lit("my-"), name))
         .otherwise(name).alias("name"),
         (key % 7 != 3).alias("is_dir"),
+    ).select(
+        "run", F.concat(F.lit("runs/"), F.col("run"), F.lit("/"), F.col("name")).alias("path"),
+        "name", "is_dir",
     )
 
 

@@ -219,10 +219,11 @@ _CTES = {
           max(len(seq)) over (partition by batch_id) - len(seq), 0) as padded
       from sequences""",
     "checkpoints": """
+      select *, 'runs/'||run||'/'||name as path from (
       select o_custkey as run, case o_orderkey % 6 when 4 then 'checkpoint-'||o_orderkey||'x'
           when 5 then 'my-checkpoint-'||o_orderkey else 'checkpoint-'||o_orderkey end as name,
         o_orderkey % 7 <> 3 as is_dir
-      from orders""",
+      from orders)""",
     "series": """
       select o_orderpriority as ticker, cast(date_trunc('month', o_orderdate) as date) as month,
         avg(o_totalprice) as price
@@ -237,9 +238,11 @@ _CTES = {
       from series a left join series b
         on b.ticker = a.ticker and b.month = a.month - interval 1 month""",
     "volatility": """
-      select a.ticker, a.month, stddev_samp(b.log_return) as v
+      select a.ticker, a.month,
+        stddev_samp(b.log_return) filter (b.month <= a.month + interval 12 month) as v,
+        stddev_samp(b.log_return) as v5
       from returns a left join returns b on b.ticker = a.ticker
-        and b.month > a.month and b.month <= a.month + interval 12 month
+        and b.month > a.month and b.month <= a.month + interval 60 month
       group by 1, 2""",
     "draws": """
       select mean + std * sqrt(-2.0 * ln(u1)) * cos(2.0 * pi() * u2) as x
@@ -586,15 +589,15 @@ def oracle_sql() -> dict[str, str]:
             "sequences",
         ),
         "latest_checkpoint": _with(
-            """select run, arg_max(name, step) as latest, max(step) as step
-              from (select run, name, cast(regexp_extract(name, '^checkpoint-([0-9]+)$', 1) as bigint)
+            """select run, arg_max(path, step) as path, arg_max(name, step) as latest, max(step) as step
+              from (select run, path, name, cast(regexp_extract(name, '^checkpoint-([0-9]+)$', 1) as bigint)
                 as step from checkpoints
                 where is_dir and regexp_matches(name, '^checkpoint-[0-9]+$'))
               group by run""",
             "checkpoints",
         ),
         "checkpoint_steps": _with(
-            """select run, name, is_dir, cast(nullif(regexp_extract(name, '^checkpoint-([0-9]+)$', 1), '')
+            """select run, path, name, is_dir, cast(nullif(regexp_extract(name, '^checkpoint-([0-9]+)$', 1), '')
               as bigint) as step from checkpoints""",
             "checkpoints",
         ),
@@ -614,6 +617,16 @@ def oracle_sql() -> dict[str, str]:
               group by 1""",
             "rollouts",
         ),
+        "streaming_sample": _with(
+            f"""select eval_step, {_MEASURES} from (
+                select eval_step, {_SCORES} from (
+                  select event_id // 100 * 100 as eval_step, completion, answer,
+                    row_number() over (partition by event_id // 100
+                      order by {_hash52("'42:'||event_id")}, event_id) as r
+                  from rollouts) where r <= 32)
+              group by eval_step""",
+            "rollouts",
+        ),
         "streaming_eval": _with(
             f"""select strftime(cast(ts as date), '%Y-%m-%d') as day, {_MEASURES}
               from (select ts, {_SCORES} from rollouts)
@@ -636,19 +649,26 @@ def oracle_sql() -> dict[str, str]:
             "series_gaps",
         ),
         "forward_volatility": _with(
-            f"select ticker, {long_month}, {_r6('v')} as volatility_1y from volatility", "volatility"
+            f"select ticker, {long_month}, {_r6('v')} as volatility_1y, {_r6('v5')} as volatility_5y "
+            "from volatility", "volatility"
         ),
         "return_band": _with(
             """select a.ticker, cast(year(a.month) * 12 + month(a.month) - 1 as int) as month_no,
                 case when r is null then null when r < -0.05 then 'bad' when r < 0.05 then 'neutral'
-                  else 'good' end as band
-              from (select a.ticker, a.month, b.price / a.price - 1 as r from series a
-                left join series b on b.ticker = a.ticker and b.month = a.month + interval 12 month) a""",
+                  else 'good' end as band_1y,
+                case when r5 is null then null when r5 < -0.1 then 'bad' when r5 < 0.1 then 'neutral'
+                  else 'good' end as band_5y
+              from (select a.ticker, a.month, b.price / a.price - 1 as r, c.price / a.price - 1 as r5
+                from series a
+                left join series b on b.ticker = a.ticker and b.month = a.month + interval 12 month
+                left join series c on c.ticker = a.ticker and c.month = a.month + interval 60 month) a""",
             "series",
         ),
         "volatility_band": _with(
             f"""select ticker, {long_month}, case when v is null then null when v < 0.1 then 'low'
-                when v < 0.2 then 'medium' else 'high' end as band from volatility""",
+                when v < 0.2 then 'medium' else 'high' end as band_1y,
+                case when v5 is null then null when v5 < 0.1 then 'low'
+                when v5 < 0.2 then 'medium' else 'high' end as band_5y from volatility""",
             "volatility",
         ),
         "history_window": _with(

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rewardtables.constants import EVAL_EVERY, EVAL_SAMPLES
 from rewardtables.functions import rewards
 from rewardtables.functions.hashing import key_hash, key_unit
 
+_SLOT_BITS = 10
+
 _SCORES = {
     "correctness": lambda: rewards.correctness(F.col("completion"), F.col("answer")),
     "strict_format": lambda: rewards.strict_format(F.col("completion")),
@@ -31,12 +34,28 @@ def _measures() -> list[Column]:
 
 
 def _least(df: DataFrame, keys: list[str], order: list[str], samples: int) -> DataFrame:
-    """The first ``samples`` rows of each group; Spark cuts each task's rows before the shuffle."""
+    """The first ``samples`` rows of each group."""
     window = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn("__rank", F.row_number().over(window))
     return ranked.where(F.col("__rank") <= F.lit(samples)).drop("__rank")
 
 
+def _bounded(df: DataFrame, samples: int) -> DataFrame:
+    """Rows whose hash isn't above a bound that at least ``samples`` rows of their bucket keep.
+
+    Each task counts its rows by bucket and by the hash's leading bits, a table of fixed size
+    per bucket; the sums tell the slot that the last sample lies in. So about
+    ``samples`` rows and a slot's worth of others are shuffled, for any number of samples.
+    """
+    slot = F.shiftright("__hash", 52 - _SLOT_BITS).cast("int")
+    counts = df.groupBy("eval_step", slot.alias("__slot")).agg(F.count(F.lit(1)).alias("__n"))
+    so_far = Window.partitionBy("eval_step").orderBy("__slot")
+    reached = counts.withColumn("__before", F.sum("__n").over(so_far) - F.col("__n"))
+    last = reached.where(F.col("__before") < F.lit(samples)).groupBy("eval_step")
+    last = last.agg(F.max("__slot").alias("__last"))
+    return df.join(last, "eval_step").where(slot <= F.col("__last")).drop("__last")
+
+
 def sample_per_bucket(
     df: DataFrame,
     step: str,
@@ -44,27 +63,21 @@ def sample_per_bucket(
     every: int = EVAL_EVERY,
     samples: int = EVAL_SAMPLES,
     seed: int = 42,
-    lanes: int = 16,
 ) -> DataFrame:
     """The ``samples`` rows of each ``every``-step bucket with the least key hash.
 
-    Adds ``eval_step``, the bucket's first step. Each task first cuts its rows to
-    ``samples`` per bucket. What is left of a bucket goes to ``lanes`` tasks by
-    the task it comes from, which cut again, and then to one: a bucket that
-    spans every task of a large job still reaches its last task as
-    ``lanes · samples`` rows. The lanes do not touch the result.
+    Adds ``eval_step``, the bucket's first step. A bucket that spans every task of a
+    large job is cut where its rows are: see ``_bounded``.
     """
     number = F.col(step).cast("bigint")
     hashed = df.withColumns(
         {
             "eval_step": number - F.pmod(number, F.lit(every)),
             "__hash": key_hash(seed, F.col(key)),
-            "__lane": F.spark_partition_id() % F.lit(lanes),
         }
     )
-    order = ["__hash", key]
-    cut = _least(hashed, ["eval_step", "__lane"], order, samples).drop("__lane")
-    return _least(cut, ["eval_step"], order, samples).drop("__hash")
+    cut = _bounded(hashed, samples)
+    return _least(cut, ["eval_step"], ["__hash", key], samples).drop("__hash")
 
 
 def periodic_eval(
@@ -108,24 +121,30 @@ def periodic_eval_stream(
 
 
 def start_windows(
-    windows: DataFrame, path: str, checkpoint: str, complete: bool = False, **trigger
+    windows: DataFrame, path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Start writing a stream's windows to ``path`` as Parquet.
+    """Start writing a stream's windows to ``path``, each whenever it has changed.
 
-    By default a window is appended once the watermark closes it, and its state
-    goes. ``complete`` keeps ``path`` equal to all windows so far, open ones too:
-    meant for a stream that ends (``availableNow=True``), as its state stays.
+    A window's state goes once the watermark closes it, so state stays bounded; windows that
+    are open when a finite input ends have been written, too. A micro-batch that
+    is run again replaces its own folder. ``read_windows`` has the last state of each.
     """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
     writer = windows.writeStream.option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    if not complete:
-        return writer.outputMode("append").format("parquet").start(path)
+    return writer.outputMode("update").foreachBatch(replace).start()
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
 
-    return writer.outputMode("complete").foreachBatch(replace).start()
+def read_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every window that ``start_windows`` has written, once, as it was last."""
+    written = spark.read.schema(schema.add("batch_id", "long")).parquet(path)
+    values = F.struct(*(c for c in written.columns if c != "batch_id"))
+    last = written.groupBy("window_start").agg(F.max_by(values, "batch_id").alias("w"))
+    return last.select("w.*")
 
 
 def sample_writer(

@@ -90,7 +90,10 @@ def test_latest_checkpoint(spark):
         ("e", "checkpoint-0", True),
     ]
     df = spark.createDataFrame(rows, "run STRING, name STRING, is_dir BOOLEAN")
-    got = {r["run"]: (r["latest"], r["step"]) for r in rollouts.latest_checkpoint(df).collect()}
+    df = df.withColumn("path", F.concat(F.lit("out/"), "name"))
+    found = rollouts.latest_checkpoint(df).collect()
+    got = {r["run"]: (r["latest"], r["step"]) for r in found}
+    assert all(r["path"] == "out/" + r["latest"] for r in found)
     assert got == {
         "a": ("checkpoint-1000", 1000),
         "c": ("checkpoint-007", 7),

@@ -101,13 +101,23 @@ def test_exact_sample_over_micro_batches(spark, parts, sf_dir, tmp_path):
         assert a[step] == pytest.approx(row)
 
 
-def test_appended_windows(spark, parts, tmp_path):
-    windows = periodic.periodic_eval_stream(stream(spark, parts), "ts", "1 day", "1 hour")
-    query = periodic.start_windows(windows, str(tmp_path / "out"), str(tmp_path / "cp"), availableNow=True)
-    query.awaitTermination(120)
-    got = spark.read.schema(windows.schema).parquet(str(tmp_path / "out"))
-    rows = got.count()
-    assert rows > 10 and got.select("window_start").distinct().count() == rows
+def test_written_windows_are_complete(spark, parts, sf_dir, tmp_path):
+    windows = periodic.periodic_eval_stream(stream(spark, parts), "ts", "1 day", "40 days")
+    out = str(tmp_path / "out")
+    periodic.start_windows(windows, out, str(tmp_path / "cp"), availableNow=True).awaitTermination(120)
+    got = {r["window_start"]: tuple(r) for r in periodic.read_windows(spark, out, windows.schema).collect()}
+    batch = periodic.periodic_eval_stream(fixtures.rollouts(spark, sf_dir), "ts", "1 day", "40 days")
+    expected = {r["window_start"]: tuple(r) for r in batch.collect()}
+    assert set(got) == set(expected)
+    for start, row in expected.items():
+        assert got[start][0] == row[0] and got[start][1:] == pytest.approx(row[1:])
+
+
+def test_stream_reads_a_folder_of_parts(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    rows = fixtures.rollout_stream(spark, str(tmp_path)).writeStream.format("memory").queryName("parts")
+    rows.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.table("parts").count() == fixtures.rollouts(spark, sf_dir).count()
 
 
 def test_sample_size(spark):
@@ -116,3 +126,6 @@ def test_sample_size(spark):
     assert got == {-100: 32, 0: 32, 100: 32}
     small = periodic.sample_per_bucket(df, "step", "id", every=10, samples=32).count()
     assert small == 250
+    large = periodic.sample_per_bucket(spark.range(20000), "id", "id", every=10000, samples=1500)
+    counts = {r["eval_step"]: r["count"] for r in large.groupBy("eval_step").count().collect()}
+    assert counts == {0: 1500, 10000: 1500}
