@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: documents that a worker handles at once
 TEXTS_PER_STEP = 256
 
 
+def steps(batches: Iterator[pa.RecordBatch], rows: int = TEXTS_PER_STEP) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that a worker holds few texts in any form."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole table of the data directory."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

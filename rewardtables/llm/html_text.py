@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rewardtables.llm.common import steps
+
 LABELLED = 400
 SMOOTH = 2.0
 TAG_COST = 0.02
@@ -175,7 +177,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     learnt = learn(pages)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             out = [extract(page, learnt) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -8,9 +8,10 @@ those enter the inverted lists; a sketch with so many values of its own meets no
 
 Equal sets are one class, known by a 128-bit digest. Components need no pair inside a
 list whose documents are connected already: first every class is compared with one hub of
-its lists, then classes outside the main component of a list with another of its members,
-then all pairs that still lie between components, so that no link is lost. A pair is
-estimated on the least K values of the union of the sketches and then decided by the full sets.
+its lists, then classes outside the main component of a list with the member that is most
+like its hub; these pairs are estimated on the least K values of the union of the sketches and
+then decided by the full sets. What is still outside is compared with all members of its
+lists by the full sets, in blocks that return forests instead of pairs, so that no link is lost.
 
 Nulls and texts without words have empty sets and link with nothing. Rows with equal
 doc_id stay apart by their texts; equal rows share a class. A null doc_id names no component but its
@@ -28,13 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rewardtables.llm.common import components, few_rows
+from rewardtables.llm.common import components, few_rows, steps
+from rewardtables.llm.embedding import forest
 from rewardtables.sources.scratch import staged
 
 WIDTH = 5
 K = 32
 NEEDED = 10
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+BLOCK = 256
+TASKS = 512
 
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -81,7 +85,7 @@ def set_key(values: np.ndarray) -> bytes:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in steps(batches):
         sizes, keys, sketches = [], [], []
         for text in batch.column(1).to_pylist():
             values = shingle_set(text)
@@ -100,7 +104,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in steps(batches):
         keys, sets = [], []
         for text in batch.column(1).to_pylist():
             values = shingle_set(text)
@@ -113,39 +117,34 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def rare_lists(classes: DataFrame) -> DataFrame:
-    """Inverted lists of the values that any partner must share: value, key, n."""
-    values = classes.select("key", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    """Inverted lists of the values that any partner must share: value, id, n."""
+    values = classes.select("id", F.explode("sketch").alias("value"))
     seen = values.groupBy("value").agg(F.count("*").alias("seen")).where("seen > 1")
-    shared = values.join(seen, "value")
-    by_key = Window.partitionBy("key")
-    order = by_key.orderBy("seen", "value").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = classes.select("id", "n", F.size("sketch").alias("k"))
+    shared = values.join(seen, "value").join(sizes, "id")
+    by_id = Window.partitionBy("id")
+    order = by_id.orderBy("seen", "value").rowsBetween(Window.unboundedPreceding, 0)
     needed = F.ceil(F.col("k") * NEEDED / K)
     # values of one document only come first; they meet nobody
-    alone = F.col("k") - F.count("*").over(by_key)
+    alone = F.col("k") - F.count("*").over(by_id)
     return (
         shared.withColumn("place", alone + F.count("*").over(order))
         .where(F.col("place") <= F.col("k") - needed + 1)
-        .select("value", "key", "n")
+        .select("value", "id", "n")
     )
 
 
 def links(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets have a similarity of 0.75 or more."""
-    known = classes.select("key", "sketch")
-    pairs = (
-        pairs.select("a", "b")
-        .distinct()
-        .join(known.toDF("a", "sketch_a"), "a")
-        .join(known.toDF("b", "sketch_b"), "b")
-    )
+    """Pairs (a, b) of classes whose full sets have a similarity of 0.75 or more, and that."""
+    known = classes.select("id", "sketch")
+    pairs = pairs.join(known.toDF("a", "sketch_a"), "a").join(known.toDF("b", "sketch_b"), "b")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, K)
     both = F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b"))
     pairs = pairs.where(F.size(both) * K >= F.size(union) * NEEDED).select("a", "b")
     pairs = pairs.join(sets.toDF("a", "full_a"), "a").join(sets.toDF("b", "full_b"), "b")
     common = F.size(F.array_intersect("full_a", "full_b"))
-    return pairs.where(
-        100 * common >= 75 * (F.size("full_a") + F.size("full_b") - common)
-    ).select("a", "b")
+    all_of = F.size("full_a") + F.size("full_b") - common
+    return pairs.where(100 * common >= 75 * all_of).select("a", "b", (common / all_of).alias("alike"))
 
 
 _NEAR = "4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
@@ -153,10 +152,8 @@ _NEAR = "4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
 
 def _located(lists: DataFrame, linked: DataFrame) -> DataFrame:
     """Members of the lists that hold several components, with the main one of the list."""
-    part = components(linked).withColumnsRenamed({"id": "key"})
-    member = lists.join(part, "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
+    part = components(linked.select("a", "b"))
+    member = lists.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
     shares = member.groupBy("value", "component").agg(F.count("*").alias("members"))
     main = shares.groupBy("value").agg(
         F.max(F.struct("members", "component"))["component"].alias("main"),
@@ -166,32 +163,110 @@ def _located(lists: DataFrame, linked: DataFrame) -> DataFrame:
     return staged(member.join(main, "value"), "list-members")
 
 
-def near_links(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """Links that connect all classes which a chain of near-duplicates connects."""
+def linked_rows(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Whether each set of a and each of b have a similarity of 0.75 or more."""
+    values = np.intersect1d(np.concatenate(a), np.concatenate(b))
+
+    def table(sets: list[np.ndarray]) -> np.ndarray:
+        whole, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.searchsorted(values, whole)
+        held = at < len(values)
+        held[held] = values[at[held]] == whole[held]
+        out = np.zeros((len(sets), len(values)), dtype=np.float32)
+        out[owner[held], at[held]] = 1
+        return out
+
+    common = np.rint(table(a) @ table(b).T).astype(np.int64)
+    sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None]
+    return 100 * common >= 75 * (sizes - common)
+
+
+_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _block_links(block: pa.Table) -> pa.Table:
+    """A forest that connects what is linked between the two sides of every block."""
+    keys = block.select(["main", "part_a", "part_b"]).to_pandas()
+    side = block.column("outside").to_numpy(zero_copy_only=False)
+    ids = block.column("id").to_numpy()
+    out: list[tuple[int, int]] = []
+    for at in keys.groupby(["main", "part_a", "part_b"], sort=False).indices.values():
+        left, right = at[side[at]], at[~side[at]]
+        if not len(left) or not len(right):
+            continue
+        sets = block.column("full").take(pa.array(np.concatenate([left, right])))
+        sets = [x.as_py() for x in sets] if len(sets) < 3 else sets.to_pylist()
+        sets = [np.array(x, dtype=np.int64) for x in sets]
+        linked = linked_rows(sets[: len(left)], sets[len(left) :])
+        linked[ids[left][:, None] == ids[right][None]] = False
+        of_left, of_right = forest(linked)
+        names = ids[right]
+        out += [(ids[left[i]], names[of_left[i]]) for i in np.flatnonzero(of_left >= 0)]
+        out += [(names[i], names[of_right[i]]) for i in np.flatnonzero(of_right >= 0) if of_right[i] != i]
+    columns = list(zip(*out, strict=True)) or [[], []]
+    return pa.Table.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in columns], schema=_EDGES)
+
+
+def rest_links(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (as forests) between members outside the main component and all members of their lists.
+
+    Lists of one main component are compared together, so a pair that shares many lists is
+    compared once. Both sides are cut into blocks; a task gets the sets of two blocks.
+    """
+    ids = member.select("main", "id", (F.col("component") != F.col("main")).alias("outside"))
+    ids = staged(ids.groupBy("main", "id").agg(F.max("outside").alias("outside")), "compared")
+    sizes = ids.groupBy("main").agg(
+        F.ceil(F.sum(F.col("outside").cast("int")) / BLOCK).alias("parts_a"),
+        F.ceil(F.count("*") / BLOCK).alias("parts_b"),
+    )
+    # every task's share of a large group is a block; small groups travel as they are
+    cut = ids.join(sizes, "main")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = cut.where("outside").select(
+        "main", F.pmod(F.xxhash64("id"), "parts_a").alias("part_a"), every("parts_b").alias("part_b"),
+        F.lit(True).alias("outside"), "id",
+    )
+    right = cut.select(
+        "main", every("parts_a").alias("part_a"), F.pmod(F.xxhash64("id"), "parts_b").alias("part_b"),
+        F.lit(False).alias("outside"), "id",
+    )
+    rows = left.unionByName(right).join(sets, "id")
+    task = F.pmod(F.xxhash64("main", "part_a", "part_b"), F.lit(TASKS)).alias("task")
+    return rows.select(task, "*").groupBy("task").applyInArrow(_block_links, "a long, b long")
+
+
+def near_links(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes with a number (id), and links that connect all that chains of near-duplicates do."""
     classes = staged(
         base.where("n_shingles > 0")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
+        )
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
     lists = staged(rare_lists(classes), "rare-lists")
     # a list of one is left where a partner's prefix ended before the value
-    keys = lists.select("key").distinct()
-    listed = staged(keys.join(classes, "key"), "listed")
+    listed = classes.join(lists.select("id").distinct(), "id")
+    listed = staged(listed.select("id", "key", "doc_id", "sketch"), "listed")
     wanted = few_rows(listed.select("doc_id").distinct())
     texts = docs.select("doc_id", "text").where("doc_id is not null").join(wanted, "doc_id", "left_semi")
     nameless = docs.select("doc_id", "text").where("doc_id is null")
+    numbers = few_rows(listed.select("key", "id"))
     sets = staged(
         texts.unionByName(nameless)
         .mapInArrow(_sets, "key binary, full array<long>")
-        .join(keys, "key", "left_semi")
-        .dropDuplicates(["key"]),
+        .join(numbers, "key")
+        .select("id", "full"),
         "full-sets",
     )
-    hubs = lists.groupBy("value").agg(F.min(F.struct("key", "n")).alias("hub"))
+    hubs = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("hub"))
     stars = (
         lists.join(hubs, "value")
-        .select(F.col("hub.key").alias("a"), F.col("hub.n").alias("n_a"), F.col("key").alias("b"), F.col("n").alias("n_b"))
+        .select(F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b"))
         .where(f"a <> b and {_NEAR}")
         .groupBy("b", "a")
         .agg(F.count("*").alias("shared"))
@@ -199,32 +274,30 @@ def near_links(docs: DataFrame, base: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("shared", "a"))["a"].alias("a"))
     )
     found = staged(links(stars, listed, sets), "links")
-    for turn in range(HUB_ROUNDS):
+    for _ in range(HUB_ROUNDS):
         member = _located(lists, found)
         if member.isEmpty():
-            return found
-        order = F.xxhash64("key", F.lit(turn))
-        hub = member.where("component = main").groupBy("value").agg(
-            F.min(F.struct(order.alias("o"), F.col("key").alias("a"), F.col("n").alias("n_a"))).alias("hub")
+            return classes, found.select("a", "b")
+        # who is most like its hub is most like the others
+        close = found.select(F.col("b").alias("id"), "alike").unionByName(
+            found.select(F.col("a").alias("id"), "alike")
         )
+        close = close.groupBy("id").agg(F.max("alike").alias("alike"))
+        best = F.max(F.struct(F.coalesce("alike", F.lit(0.0)).alias("alike"), F.col("id").alias("a"), F.col("n").alias("n_a")))
+        hub = member.where("component = main").join(close, "id", "left").groupBy("value").agg(best.alias("hub"))
         tries = (
             member.where("component <> main")
             .join(hub, "value")
-            .select("hub.a", "hub.n_a", F.col("key").alias("b"), F.col("n").alias("n_b"))
+            .select("hub.a", "hub.n_a", F.col("id").alias("b"), F.col("n").alias("n_b"))
             .where(_NEAR)
+            .groupBy("b", "a")
+            .agg(F.count("*").alias("shared"))
+            .groupBy("b")
+            .agg(F.max(F.struct("shared", "a"))["a"].alias("a"))
         )
         found = staged(found.unionByName(links(tries, listed, sets)), "links")
-    member = _located(lists, found)
-    outside = member.where("component <> main").select(
-        "value", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("part_a")
-    )
-    others = member.select(
-        "value", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("part_b"), "main"
-    )
-    rest = outside.join(others, "value").where(
-        f"part_a <> part_b and (part_b = main or a < b) and {_NEAR}"
-    )
-    return staged(found.unionByName(links(rest, listed, sets)), "links")
+    rest = rest_links(_located(lists, found), sets)
+    return classes, staged(found.select("a", "b").unionByName(rest), "links")
 
 
 def minhash_dedup(docs: DataFrame) -> DataFrame:
@@ -235,15 +308,10 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
         ),
         "sketches",
     )
-    return class_components(base, components(near_links(docs, base)))
-
-
-def class_components(base: DataFrame, part: DataFrame) -> DataFrame:
-    """Every row with the smallest doc_id of its class's component."""
-    sets = base.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    sets = sets.join(part.withColumnsRenamed({"id": "key"}), "key", "left")
-    sets = sets.withColumn("component", F.coalesce("component", "key"))
-    least = sets.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes, found = near_links(docs, base)
+    sets = classes.select("key", "doc_id", "id").join(components(found), "id", "left")
+    sets = sets.withColumn("component", F.coalesce("component", "id"))
+    least = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = sets.join(least, "component").select("key", "component_id")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (

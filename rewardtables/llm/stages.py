@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rewardtables.llm import minhash, quality, suffix_dedup
-from rewardtables.llm.common import few_rows
+from rewardtables.llm.common import few_rows, steps
 from rewardtables.llm.decontaminate import decontaminate
 
 
@@ -47,7 +47,7 @@ def keep_one_of_near_copies(docs: DataFrame) -> DataFrame:
     # rows of one doc_id: keep the first of each set, if its component is named by that doc_id
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = docs.columns.index("text")
-        for batch in batches:
+        for batch in steps(batches):
             keys = [minhash.set_key(minhash.shingle_set(t)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, "_key"]
