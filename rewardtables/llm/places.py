@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TASK_KEYS = 1_000_000
-BUCKET_KEYS = 1_000_000
+TASK_KEYS = 400_000
+BUCKET_KEYS = 250_000
 
 #: texts to (index of the text, key, place), keys being well mixed 64-bit numbers
 KeysOf = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -86,6 +86,7 @@ def shared_places(texts: DataFrame, keys_of: KeysOf, n_keys: float) -> DataFrame
     """
     bits = max(4, int(np.ceil(np.log2(max(n_keys, 1) / BUCKET_KEYS + 1e-9))))
     shift = np.uint64(64 - bits)
+    small = (np.int64, np.bool_, np.int32, np.int64, np.int32, np.int32)
 
     def sort(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         key, doc, nth, place, owner = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -126,27 +127,28 @@ def shared_places(texts: DataFrame, keys_of: KeysOf, n_keys: float) -> DataFrame
     def meet(entries: pa.Table) -> pa.Table:
         told = []
         cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
-        for turn, row in enumerate(entries.to_pylist()):
+        for turn in range(len(entries)):
+            row = entries.slice(turn, 1).to_pylist()[0]
             n = row["n"]
             key = np.frombuffer(row["keys"], dtype="<u4")
             rest = [_unplanes(row[c], n) for c in ("doc", "nth", "place")]
             whole = key.astype(np.int64) | (row["bucket"] << 32)
             if row["known"]:
-                told.append((*rest, whole))
+                told.append((*rest, whole))  # sent by the task that knew
             else:
                 many = np.unpackbits(np.frombuffer(row["many"], dtype=np.uint8), count=n)
-                for c, v in zip(cols, (whole, many, np.full(n, turn), *rest), strict=True):
-                    c.append(v)
+                for c, v, kind in zip(cols, (whole, many, np.full(n, turn), *rest), small, strict=True):
+                    c.append(v.astype(kind))
         if cols[0]:
             key, many, turn, doc, nth, place = (np.concatenate(c) for c in cols)
             order = np.argsort(key, kind="stable")
             key, many, turn = key[order], many[order], turn[order]
             first = np.concatenate([[True], key[1:] != key[:-1]])
             begin = np.flatnonzero(first)
-            shared = np.maximum.reduceat(many, begin).astype(bool)
+            shared = np.logical_or.reduceat(many, begin)
             shared |= np.maximum.reduceat(turn, begin) != np.minimum.reduceat(turn, begin)
             # entries that stand for many have told their places
-            reply = shared[np.cumsum(first) - 1] & (many == 0)
+            reply = shared[np.cumsum(first) - 1] & ~many
             at = order[reply]
             told.append((doc[at], nth[at], place[at], key[reply]))
         if not told:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardtables.llm.common import FEW_ROWS, few_rows
+from rewardtables.llm.common import FEW_ROWS, few_rows, steps
 from rewardtables.llm.distinct import distinct_texts
 from rewardtables.llm.minhash import mixed
 from rewardtables.llm.places import shared_places, window_minima
@@ -42,7 +42,6 @@ ANCHOR = 24
 TEXT_BYTES = 1 << 16
 MANY = 20_000
 GROUP_BYTES = 16 << 20
-STEP = 256
 
 
 def _raw(text: str) -> bytes:
@@ -80,34 +79,32 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts of the shared anchors of every document."""
     from xxhash import xxh3_64_intdigest
 
-    for whole in batches:
-        for at in range(0, whole.num_rows, STEP):
-            batch = whole.slice(at, STEP)
-            anchor, cx, doc, nth, start, before, context = [], [], [], [], [], [], []
-            for name, twin, text, places in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                raw = _raw(text)
-                for a in places:
-                    lo = max(0, a + ANCHOR - SPAN)
-                    part = raw[lo : a + SPAN]
-                    anchor.append(xxh3_64_intdigest(raw[a : a + ANCHOR]))
-                    cx.append(xxh3_64_intdigest(part, a - lo))
-                    start.append(lo)
-                    before.append(a - lo)
-                    context.append(part)
-                doc += [name] * len(places)
-                nth += [twin] * len(places)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(anchor, dtype=np.uint64).view(np.int64)),
-                    pa.array(np.array(cx, dtype=np.uint64).view(np.int64)),
-                    pa.array(doc, pa.int64()),
-                    pa.array(nth, pa.int32()),
-                    pa.array(start, pa.int32()),
-                    pa.array(before, pa.int32()),
-                    pa.array(context, pa.binary()),
-                ],
-                names=["anchor", "cx", "doc_id", "nth", "start", "before", "context"],
-            )
+    for batch in steps(batches):
+        anchor, cx, doc, nth, start, before, context = [], [], [], [], [], [], []
+        for name, twin, text, places in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+            raw = _raw(text)
+            for a in places:
+                lo = max(0, a + ANCHOR - SPAN)
+                part = raw[lo : a + SPAN]
+                anchor.append(xxh3_64_intdigest(raw[a : a + ANCHOR]))
+                cx.append(xxh3_64_intdigest(part, a - lo))
+                start.append(lo)
+                before.append(a - lo)
+                context.append(part)
+            doc += [name] * len(places)
+            nth += [twin] * len(places)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.array(anchor, dtype=np.uint64).view(np.int64)),
+                pa.array(np.array(cx, dtype=np.uint64).view(np.int64)),
+                pa.array(doc, pa.int64()),
+                pa.array(nth, pa.int32()),
+                pa.array(start, pa.int32()),
+                pa.array(before, pa.int32()),
+                pa.array(context, pa.binary()),
+            ],
+            names=["anchor", "cx", "doc_id", "nth", "start", "before", "context"],
+        )
 
 
 def least_by_suffixes(contexts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
@@ -331,7 +328,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             out = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = _raw(text or "")
