@@ -18,10 +18,12 @@ from rewardtables.constants import BAND_DISTRIBUTIONS, CONFIDENCE, DRAWS_PER_PRE
 from rewardtables.functions.bands import lookup
 from rewardtables.functions.hashing import digest, standard_normal
 from rewardtables.operators.literals import literal_rows
+from rewardtables.sources.scratch import staged
 
 Distributions = Mapping[str, tuple[float, float]]
 
 _DRAWS_PER_TASK = 10_000_000  # about half a minute of one core
+_BINS = 1024
 
 _RESULT = "var DOUBLE, cvar DOUBLE, n_predictions BIGINT"
 
@@ -136,45 +138,68 @@ def simulated_draws(
     return numbered.select("key", "band", "draw_no", (F.col("mean") + F.col("std") * z).alias("draw"))
 
 
-def _tail(values: DataFrame, low: float, high: float, first: int, second: int) -> DataFrame:
-    """Order statistics ``first`` and ``second`` (from 0) among values up to ``high``.
-
-    Values below ``low`` are folded into one count and sum, those in [low, high]
-    are counted per distinct value, both with map-side partial sums; the window
-    then runs over the few distinct values. One row: the two values, each with
-    the count and sum of all values up to it; NULL where it lies outside.
+def _binned(values: DataFrame, low: float, high: float) -> DataFrame:
+    """Distinct values in [low, high] with their count and sum, by bin; all below are bin -1.
 
     Values above ``high`` are one more group until then, not filtered out first:
     a filter would be pushed below the column and compute each draw twice.
     """
     draw = F.col("draw")
-    groups = (
+    place = F.lit(0)
+    if math.isfinite(low) and math.isfinite(high) and high > low:
+        share = (F.col("v") - F.lit(low)) / F.lit(high - low)
+        place = F.least(F.floor(share * F.lit(_BINS)), F.lit(_BINS - 1)).cast("int")
+    return (
         values.groupBy(
             (draw > F.lit(high)).alias("above"),
             F.when((draw >= F.lit(low)) & (draw <= F.lit(high)), draw).alias("v"),
         )
         .agg(F.count(F.lit(1)).alias("n"), F.sum("draw").alias("s"))
         .where(~F.col("above"))
-    )
-    upto = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = groups.select(
-        "v", "n", F.sum("n").over(upto).alias("cum_n"), F.sum("s").over(upto).alias("cum_s")
+        .select(F.coalesce(F.when(F.col("v").isNotNull(), place), F.lit(-1)).alias("bin"), "v", "n", "s")
     )
 
-    def holds(rank: int):
-        return (F.col("cum_n") - F.col("n") <= F.lit(rank)) & (F.lit(rank) < F.col("cum_n"))
 
-    return ranked.agg(
-        *[
-            F.max(F.when(holds(rank), F.col(c))).alias(f"{c}_{name}")
-            for name, rank in (("first", first), ("second", second))
-            for c in ("v", "cum_n", "cum_s")
-        ]
+def _ranked(groups: DataFrame, bins: list[int]) -> DataFrame:
+    """Values of some bins with the count and sum up to them within their bin."""
+    upto = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return groups.where(F.col("bin").isin(bins)).select(
+        "bin", "v", "n", F.sum("n").over(upto).alias("cum_n"), F.sum("s").over(upto).alias("cum_s")
     )
 
 
+def _tail(
+    values: DataFrame, low: float, high: float, ranks: tuple[int, int]
+) -> list[tuple[float, int, float]] | None:
+    """The order statistics of two ranks (from 0), each with the count and sum of all values up to it.
+
+    None if one lies outside [low, high]. Values are counted per distinct value with
+    map-side partial sums and written once. The driver sees the counts of ``_BINS`` bins, and
+    only the bins that hold the ranks are put in order, each in a task of its own.
+    """
+    groups = staged(_binned(values, low, high), "bins")
+    totals = groups.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()
+    before, n, total = {}, 0, 0.0
+    for row in sorted(totals, key=lambda r: r["bin"]):
+        before[row["bin"]] = (n, total, n + row["n"])
+        n, total = n + row["n"], total + row["s"]
+    homes = [next((b for b, (x, _, y) in before.items() if x <= r < y), -1) for r in ranks]
+    if -1 in homes:
+        return None
+    ranked = _ranked(groups, sorted(set(homes)))
+
+    def holds(rank: int, home: int):
+        inside = F.lit(rank - before[home][0])
+        return (F.col("bin") == home) & (F.col("cum_n") - F.col("n") <= inside) & (inside < F.col("cum_n"))
+
+    found = ranked.agg(
+        *[F.max(F.when(holds(r, b), F.struct("v", "cum_n", "cum_s"))) for r, b in zip(ranks, homes)]
+    ).first()
+    return [
+        (x["v"], before[b][0] + x["cum_n"], before[b][1] + x["cum_s"]) for x, b in zip(found, homes)
+    ]
+
+
 def var_cvar(
     df: DataFrame,
     band_col: str,
@@ -194,7 +219,7 @@ def var_cvar(
     missed is widened and the pass repeated.
 
     Runs its jobs when called (one count per band, then the pass); the driver
-    sees one row of each. No usable prediction gives one row of NULLs.
+    sees one row per band, and the counts of a fixed number of bins. No usable prediction gives one row of NULLs.
     """
     spark = df.sparkSession
     counts = _band_counts(df, band_col, dist)
@@ -213,14 +238,14 @@ def var_cvar(
     while True:
         low = _mixture_quantile(p - width * error - 2.0 / total, counts, dist)
         high = _mixture_quantile(p + width * error + 2.0 / total, counts, dist)
-        row = _tail(values, low, high, first, second).first()
-        if row["v_first"] is not None and row["v_second"] is not None:
+        found = _tail(values, low, high, (first, second))
+        if found is not None:
             break
         width *= 8.0
-    a, b = row["v_first"], row["v_second"]
+    (a, *_), (b, *_) = found
     var = a + (b - a) * (position - first)
-    end = "second" if var >= b else "first"
-    cvar = row[f"cum_s_{end}"] / row[f"cum_n_{end}"]
+    _, n, total = found[1] if var >= b else found[0]
+    cvar = total / n
     return literal_rows(spark, [(var, cvar, predictions)], _RESULT)
 
 

@@ -498,6 +498,27 @@ def oracle_sql() -> dict[str, str]:
               select quantile_cont(x, 0.05) as var, count(*) // 1000 as n_predictions from draws)""",
             "draws",
         ),
+        "var_cvar_mixture": _with(
+            # the mixture's density summed over narrow cells instead of a closed form
+            f"""select {_r6('x + 0.00005 - (cum - 0.05) / m * 0.0001')} as var,
+                {_r6('(below - (cum - 0.05) * x) / 0.05')} as cvar, n_predictions
+              from (select *, row_number() over (order by x) as r from cells where cum >= 0.05)
+              where r = 1""",
+            "predictions",
+            band_counts="""
+              select case pred_ret_1y when 'bad' then -0.15 when 'neutral' then 0.05 else 0.20 end::double as mean,
+                case pred_ret_1y when 'bad' then 0.20 when 'neutral' then 0.15 else 0.25 end::double as std,
+                count(*) as n
+              from predictions where pred_ret_1y is not null group by all""",
+            density="""
+              select x, sum(n * exp(-0.5 * ((x - mean) / std) ** 2) / (std * sqrt(2 * pi())))
+                  / sum(n) * 0.0001 as m, sum(n)::bigint as n_predictions
+              from (select -3.0::double + (i + 0.5) * 0.0001 as x from range(60000) t(i)), band_counts
+              group by x""",
+            cells="""
+              select x, m, n_predictions, sum(m) over (order by x) as cum,
+                sum(m * x) over (order by x) as below from density""",
+        ),
         "kfold_assign": _with(
             f"select doc_id, cast({_hash52("'42:'||doc_id")} % 5 as int) as fold from predictions",
             "predictions",

@@ -27,15 +27,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read from there: lineage is cut,
     costly inputs are computed a single time, lost executors cost a reread.
 
-    Shuffle files of what has been written are no longer needed; Spark removes them when
-    the driver collects its garbage, which would otherwise happen at some later time.
+    Shuffle files of the write serve nobody afterwards and go when it ends, not when the
+    driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
