@@ -36,6 +36,7 @@ LABELLED = 400
 SMOOTH = 2.0
 TAG_COST = 0.02
 LOW = -1.0
+MARKED = frozenset(("article", "main"))
 
 # fixed values: names that pages commonly give to what is not content
 NAMES = frozenset(
@@ -157,8 +158,11 @@ def extract(page: str | None, learnt: dict[str, float]) -> str:
         if keys not in known:
             low = min((weight(k, learnt) for k in keys), default=0.0)
             known[keys] = LOW if low <= -1.0 else 1.0
+        low = known[keys] < 0
         text = html.unescape(value) if "&" in value else value
-        scored.append((known[keys] * len(text.split()), text))
+        # what is low inside marked content is left out, but does not part it
+        part = 0.0 if low and MARKED.intersection(keys) else known[keys]
+        scored.append((part * len(text.split()), " " if low else text))
     best, total, start, first, last = 0.0, 0.0, 0, 0, -1
     for i, (score, _) in enumerate(scored):
         if total <= 0:
@@ -167,8 +171,8 @@ def extract(page: str | None, learnt: dict[str, float]) -> str:
         if total > best:
             best, first, last = total, start, i
     parts = []
-    for score, text in scored[first : last + 1]:
-        parts.append(" " if score <= LOW else text)
+    for _, text in scored[first : last + 1]:
+        parts.append(text)
     return " ".join("".join(parts).split())
 
 
