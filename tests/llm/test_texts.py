@@ -208,6 +208,20 @@ def test_fuzzy_passages(spark):
     assert substring.substring_dedup(documents(spark, [])).collect() == []
 
 
+def test_passages_with_dense_edits(spark):
+    passage = [f"u{i}" for i in range(60)]
+    fill = lambda a, k: [f"{a}{i}" for i in range(k)]
+    rows = [(1, fill("a", 20) + passage + fill("b", 20))]
+    for n in (6, 8, 11):  # a word changed every n words
+        edited = [f"new{n}x{i}" if i % n == n - 1 else w for i, w in enumerate(passage)]
+        rows.append((n, fill(f"c{n}x", 25) + edited + fill(f"d{n}x", 25)))
+    got = {x.doc_id: x for x in substring.substring_dedup(documents(spark, [(n, " ".join(w)) for n, w in rows])).collect()}
+    for n in (6, 8, 11):
+        (first, *_) = got[n].passages
+        assert (first.start, first.source, first.source_start) == (25, 1, 20) and first.stop >= 25 + 59 - n
+        assert first.similarity >= 0.75
+
+
 def test_chains_against_all_orders():
     for seed in range(150):
         r = random.Random(seed)
