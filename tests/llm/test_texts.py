@@ -222,6 +222,62 @@ def test_passages_with_dense_edits(spark):
         assert first.similarity >= 0.75
 
 
+def test_passages_of_later_holders(spark):
+    r = random.Random(11)
+    fresh = lambda k, n=iter(range(10**6)): [f"u{next(n)}" for _ in range(k)]
+    passage, other = fresh(60), fresh(40)
+    # every stretch of the passage is first held by another document, none holds it whole before 20
+    rows = [(i, fresh(30) + passage[6 * i : 6 * i + 10] + fresh(30)) for i in range(10)]
+    rows += [(20, fresh(50) + passage + fresh(20)), (21, fresh(35) + passage + fresh(35))]
+    # hot short line inside a passage that only two documents hold
+    line = fresh(12)
+    rows += [(100 + i, fresh(20 + i % 7) + line + fresh(20)) for i in range(60)]
+    mixed = other[:20] + line + other[20:]
+    rows += [(90 + i, fresh(9) + part + fresh(9)) for i, part in enumerate((other[:14], other[10:24], other[20:34], other[30:]))]
+    rows += [(200, fresh(40) + mixed + fresh(10)), (201, fresh(15) + mixed + fresh(15))]
+    r.shuffle(rows)
+    df = documents(spark, [(n, " ".join(w)) for n, w in rows])
+    got = {x.doc_id: x for x in substring.substring_dedup(df).collect()}
+    told = lambda n: {(p.start, p.stop, p.source, p.source_start, p.source_stop, p.similarity) for p in got[n].passages}
+    assert told(21) == {(35, 95, 20, 50, 110, 1.0)}
+    assert told(201) == {(15, 67, 200, 40, 92, 1.0)}
+    assert all(not got[n].passages for n in got if n not in (21, 201))
+
+
+def test_recall_against_quadratic_chaining(spark):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    lines = [r.choices(words, k=12) for _ in range(3)]
+    base = [r.choices(words, k=r.randrange(30, 60)) for _ in range(12)]
+    rows = []
+    for n in range(90):
+        rate = r.choice([0.05, 0.1, 0.15, 0.2])
+        text = r.choices(words, k=20)
+        for part in r.sample(base, 2):
+            cut = part[r.randrange(3) :]
+            text += [w if r.random() > rate else r.choice(words) for w in cut]
+            text += r.choice(lines) + r.choices(words, k=r.randrange(40))
+        rows.append((n, text))
+    got = {x.doc_id: x for x in substring.substring_dedup(documents(spark, [(n, " ".join(w)) for n, w in rows])).collect()}
+    at = {n: {} for n, _ in rows}
+    for n, w in rows:
+        for i in range(len(w) - 4):
+            at[n].setdefault(tuple(w[i : i + 5]), []).append(i)
+    for n, a in rows:
+        want, have, seeds = set(), set(), set()
+        for m, b in rows[:n]:
+            matches = [(x, y) for k, xs in at[n].items() for x in xs for y in at[m].get(k, ())]
+            if matches:
+                x, y = substring.run_ends(*np.array(matches).T)
+                for chain in substring.chains(list(zip(x.tolist(), y.tolist(), strict=True))):
+                    if p := substring.align(a, b, chain):
+                        want |= set(range(p[0], p[1]))
+                        seeds |= {x + j for x, _ in matches for j in range(5) if p[0] <= x and x + 5 <= p[1]}
+        for p in got[n].passages:
+            have |= set(range(p.start, p.stop))
+        assert have <= want and seeds <= have
+
+
 def test_chains_against_all_orders():
     for seed in range(150):
         r = random.Random(seed)
