@@ -11,7 +11,9 @@ intervals of ranks, which they look up where they are.
 
 A sequence is opened only for pieces that fit no gap, neither as it was before the sweep nor
 as the sweep leaves it, and only as many as pieces of that length fill. Runs double as often as sweeps happen at most and sweeps end after ``capacity``
-rounds, whatever the number of rows; in practice there are some dozens.
+rounds, whatever the number of rows; in practice there are some dozens. The sweeps
+themselves are one loop on the driver over counts by length (``sweep_runs``); Spark ranks the
+pieces before and looks them up after. No bound on the number of runs is proven.
 
 Nulls: a null text is empty, its piece is the end id. Rows with equal doc_id are packed
 each for itself. An empty table gives no rows. Other columns are ignored.
