@@ -2,7 +2,7 @@
 
 A document's set holds a 64-bit hash of every distinct five-word shingle; its sketch the ``K``
 least values. Two sets of similarity 0.75 or more share at least ``NEEDED`` of their K least
-values but with a chance under 1e-7 (and all values of sets smaller than K), so they share
+values but with a chance under 1e-14 (and all values of sets smaller than K), so they share
 one of the K - NEEDED + 1 values of their sketches that are rarest in the corpus. Only
 those enter the inverted lists; a sketch with so many values of its own meets no list.
 
@@ -35,7 +35,7 @@ from rewardtables.sources.scratch import staged
 
 WIDTH = 5
 K = 32
-NEEDED = 10
+NEEDED = 4
 HUB_ROUNDS = 1
 BLOCK = 256
 TASKS = 512

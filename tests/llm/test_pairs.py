@@ -175,3 +175,12 @@ def test_final_pairs_alone_find_all_links(spark, monkeypatch):
     monkeypatch.undo()
     again = minhash.minhash_dedup(documents(spark, rows)).select("doc_id", F.col("component_id").alias("c"))
     assert got == {r.doc_id: r.c for r in again.collect()}
+
+
+def test_chance_to_miss_a_near_duplicate():
+    from math import comb
+
+    from rewardtables.llm.minhash import K, NEEDED
+
+    missed = sum(comb(K, i) * 0.75**i * 0.25 ** (K - i) for i in range(NEEDED))
+    assert missed * 1e12 < 0.1  # links lost of 10 ** 12 at the very threshold
