@@ -1,4 +1,4 @@
-"""Operator 6: chat formatting with Spark expressions only.
+"""Operator 6: chat formatting with Spark expressions.
 
 A run of turns of one role is ``<s>role``, a line feed, the texts with ``<sep>`` between them,
 ``</s>``. In roles and texts a backslash becomes ``\\e``, ``<`` becomes ``\\l``, ``[`` becomes ``\\b``,
@@ -7,7 +7,8 @@ can be read back. Turns of a conversation are collected in blocks of ``BLOCK`` t
 block by block, sorted and merged.
 
 ``loss_runs`` is the loss mask: lengths in characters of what is not and what is learnt, in turn,
-over the whole of ``formatted``; the texts of assistants are learnt, markers are not.
+over the whole of ``formatted``; the texts of assistants are learnt, markers are not. The learnt text
+is read back by that mask, in Arrow batches, as cutting by offsets is linear there.
 
 Nulls: a null text or role is empty; a null turn comes first; rows of null conv_id form one
 conversation. Turns of equal number are sorted by role and text; repeated rows are kept. An
@@ -16,9 +17,14 @@ empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rewardtables.llm.common import steps
 from rewardtables.sources.scratch import staged
 
 BLOCK = 64
@@ -121,19 +127,50 @@ def parsed(formatted: Column) -> Column:
     )
 
 
+def learnt_text(formatted: str, loss_runs: list[int]) -> str:
+    """What the loss mask marks, unescaped."""
+    parts, at = [], 0
+    for skip, size in zip(loss_runs[::2], loss_runs[1::2], strict=True):
+        parts.append(formatted[at + skip : at + skip + size])
+        at += skip + size
+    text = "".join(parts)
+    for new, old in reversed(_TEXT):
+        text = text.replace(old, new)
+    return text
+
+
+def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in steps(batches):
+        texts, runs = (batch.column(c).to_pylist() for c in ("formatted", "loss_runs"))
+        learnt = [learnt_text(t, r) for t, r in zip(texts, runs, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c) for c in ("conv_id", "n_turns", "turns_sha256")),
+                pa.array([len(t) for t in learnt], pa.int64()),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in learnt], pa.string()),
+                batch.column("formatted_chars"),
+            ],
+            names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+        )
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of the turns and of the learnt text, from the formatted strings."""
-    turns = formatted.select("conv_id", "formatted", parsed(F.col("formatted")).alias("turns"))
-    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LEARNT), lambda t: t["text"]), "")
+    """Digests of the turns, from the formatted strings, and of what the loss mask cuts out of them."""
+    turns = formatted.select("conv_id", "formatted", "loss_runs", parsed(F.col("formatted")).alias("turns"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return turns.select(
+    rows = turns.select(
         "conv_id",
+        "formatted",
+        "loss_runs",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(told, 256).alias("turns_sha256"),
-        F.length(learnt).cast("long").alias("loss_chars"),
-        F.sha2(learnt, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+    conv = rows.schema["conv_id"].dataType.simpleString()
+    return rows.mapInArrow(
+        _masked,
+        f"conv_id {conv}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    )
 
 
 def chat_digests(turns: DataFrame) -> DataFrame:

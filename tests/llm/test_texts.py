@@ -175,6 +175,16 @@ def test_chats_round_trip(spark):
     assert chat_format.chat_digests(df.where("false")).collect() == []
 
 
+def test_learnt_text_follows_the_mask(spark):
+    rows = [(1, "<s>user\na\\lb</s><s>assistant\nc\\ed</s>", [29, 4, 4, 0])]
+    right = spark.createDataFrame(rows, "conv_id long, formatted string, loss_runs array<int>")
+    wrong = right.selectExpr("conv_id", "formatted", "array(8, 4, 25, 0) AS loss_runs")
+    for df, learnt in ((right, "c\\d"), (wrong, "a<b")):
+        (x,) = chat_format.read_back(df).collect()
+        assert (x.n_turns, x.loss_chars) == (2, 3)
+        assert x.loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
+
+
 def test_fuzzy_passages(spark):
     r = random.Random(6)
     words = [f"v{i}" for i in range(3000)]
