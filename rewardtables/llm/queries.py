@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rewardtables.llm.byte_bpe import byte_bpe
 from rewardtables.llm.chat_format import chat_digests
 from rewardtables.llm.common import table
 from rewardtables.llm.decontaminate import decontaminate
@@ -78,6 +79,11 @@ def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the digests of its ids and of the text decoded from them."""
+    return byte_bpe(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage."""
     return {
@@ -91,4 +97,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_codes": op8_token_codes,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extract": op10_html_extract,
+        "op11_byte_bpe": op11_byte_bpe,
     }
