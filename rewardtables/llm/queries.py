@@ -20,6 +20,7 @@ from rewardtables.llm.quality import quality_scores
 from rewardtables.llm.substring import substring_dedup
 from rewardtables.llm.suffix_dedup import suffix_dedup
 from rewardtables.llm.token_codes import token_codes
+from rewardtables.llm.whitening import embedding_whitening
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,11 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened components."""
+    return embedding_whitening(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage."""
     return {
@@ -98,4 +104,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extract": op10_html_extract,
         "op11_byte_bpe": op11_byte_bpe,
+        "op12_embedding_whitening": op12_embedding_whitening,
     }
