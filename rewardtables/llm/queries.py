@@ -19,6 +19,7 @@ from rewardtables.llm.packing import pack_documents
 from rewardtables.llm.quality import quality_scores
 from rewardtables.llm.substring import substring_dedup
 from rewardtables.llm.suffix_dedup import suffix_dedup
+from rewardtables.llm.token_align import token_alignment
 from rewardtables.llm.token_codes import token_codes
 from rewardtables.llm.whitening import embedding_whitening
 
@@ -90,6 +91,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_whitening(table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its aligned tokens and their corpus-wide counts."""
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage."""
     return {
@@ -105,4 +111,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_html_extract": op10_html_extract,
         "op11_byte_bpe": op11_byte_bpe,
         "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_token_alignment": op13_token_alignment,
     }

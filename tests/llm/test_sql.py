@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_registered():
     names = set(driver.queries())
     assert "pipeline" in names
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 13))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 14))
     assert set(queries.queries()) <= names
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
