@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: rows of a few numbers that may be sent to every executor, some 16 MB
 FEW_ROWS = 500_000
 

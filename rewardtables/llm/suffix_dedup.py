@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardtables.llm.common import FEW_ROWS, few_rows, steps
+from rewardtables.llm.common import FEW_ROWS, few_rows, free_name, steps
 from rewardtables.llm.distinct import distinct_texts
 from rewardtables.llm.minhash import mixed
 from rewardtables.llm.places import shared_places, window_minima
@@ -360,5 +360,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             dtype=object,
         )
 
-    marked = with_spans(docs, "_removed")
-    return marked.withColumn("text", left("text", "_removed")).drop("_removed")
+    removed = free_name(docs, "_removed")
+    marked = with_spans(docs, removed)
+    return marked.withColumn("text", left("text", removed)).drop(removed)

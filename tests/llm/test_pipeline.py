@@ -54,3 +54,21 @@ def test_stages_of_empty_tables(spark):
         stages.keep_clean(empty, bench),
     ):
         assert out.columns == empty.columns and out.collect() == []
+
+
+def test_columns_named_as_the_stages_name_theirs(spark):
+    rows = [(1, "one two three four five six"), (1, "seven eight nine ten eleven twelve"), (2, None), (2, "x " * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("_score", "_removed", "_key", "_id", "_hash", "_set", "score", "digest", "nth", "least", "spans"):
+        docs = docs.selectExpr("*", f"'{name}' AS {name}")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    for out, n in (
+        (stages.keep_quality(docs, labels, 0.0), 4),
+        (stages.keep_one_of_near_copies(docs), 4),
+        (stages.cut_repeats(docs), 4),
+        (stages.keep_clean(docs, bench), 3),
+    ):
+        got = out.collect()
+        assert out.columns == docs.columns and len(got) == n
+        assert all(r[c] == c for r in got for c in docs.columns[2:])

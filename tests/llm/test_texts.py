@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -356,3 +357,58 @@ def test_main_text(spark):
     assert got[7, True].n_chars == 5 * 50000 - 1
     assert got[8, False].text == "Link <b>"
     assert html_text.extract_pages(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("element", ["article", "div"])
+@pytest.mark.parametrize(
+    "names", ["post comments-open", "share-post", "entry has-sidebar", "related-content", "widget-article", "story"]
+)
+def test_names_do_not_lose_the_article(element, names):
+    body = "<h1>Head line of it</h1><p>Words <math>of x</math> and <noscript>more of</noscript> them.</p><object>Last ones.</object>"
+    page = PAGE.format(main=f"<{element} class='{names}'>{body}</{element}>")
+    want = "Head line of it Words of x and more of them. Last ones."
+    assert html_text.extract(page, {}) == want
+    assert html_text.extract(page.replace("<div id", "<div class='layout has-comments'><div id"), {}) == want
+
+
+def test_learnt_weights_outvote_names():
+    page = "<div class='banner'>One two three four.</div><div class='strange'>Five six seven.</div>"
+    assert html_text.extract(page, {}) == "Five six seven."
+    assert html_text.extract(page, {"banner": 9.0, "strange": -9.0}) == "One two three four."
+
+
+def test_deep_pages_take_linear_time():
+    for open_, n in (("<div>", 100_000), ("<ul class='nav x'>", 100_000), ("</div>", 100_000)):
+        began = time.perf_counter()
+        assert html_text.extract(open_ * n + "<article>Just these words.</article>", {}) in ("Just these words.", "")
+        assert html_text.labelled_counts(open_ * n + "<article>Just these words.</article>") is not None
+        assert time.perf_counter() - began < 20
+
+
+def test_best_region_against_all_regions():
+    """Every contiguous region of random pages is tried: none has a higher score."""
+    rng = random.Random(8)
+    parts = ["<p>", "</p>", "<b>", "one two three", "word", "<nav>a b c d</nav>", "<div class=ad>x y</div>", "<br>", "<i></i>"]
+    for _ in range(300):
+        tokens = rng.choices(parts, k=12)
+        texts = ["".join(tokens[i:j]) for i in range(12) for j in range(i + 1, 13)]
+        score = lambda text: sum(
+            html_text.LOW * len(w.split()) if low else len(w.split()) if w[0] != "<" else -html_text.TAG_COST * (2 if "nav" in w else 1)
+            for w, low in pieces(text)
+        )
+        got = html_text.extract("".join(tokens), {})
+        best = max(texts, key=score)
+        words = " ".join("".join(" " if low or w[0] == "<" and w.strip("</>") not in html_text.INLINE else "" if w[0] == "<" else w for w, low in pieces(best)).split())
+        if score(best) > 0 and sum(abs(score(t) - score(best)) < 1e-9 for t in texts) == 1:
+            assert got == words
+
+
+def pieces(text):
+    """(word or tag, of little content) in order."""
+    low = False
+    for found in re.findall(r"<[^>]*>|[^<]+", text):
+        if found.startswith(("<nav", "<div")):
+            low = True
+        yield found, low and found[0] != "<"
+        if found.startswith(("</nav", "</div")):
+            low = False
