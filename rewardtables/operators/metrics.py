@@ -148,15 +148,17 @@ def metrics_from_confusion(
     )
 
 
-def metric_map(df: DataFrame, by: Sequence[str] = ("band_type",), suffix: str = "") -> DataFrame:
-    """Long ``metric, value`` rows named ``<metric>_<group…><suffix>`` from ``band_metrics`` rows."""
+def metric_map(
+    df: DataFrame, by: Sequence[str] = ("band_type",), suffix: str = "", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Columns ``keep`` and long ``metric, value`` rows named ``<metric>_<group…><suffix>`` from ``band_metrics`` rows."""
     names = ["accuracy", "mse", "f1_weighted", "r2"]
     shown = {"r2": "r2_score"}
     cells = []
     for name in names:
         label = F.concat_ws("_", F.lit(shown.get(name, name)), *[F.col(b) for b in by])
         cells += [F.concat(label, F.lit(suffix)), F.col(name)]
-    return df.select(F.stack(F.lit(len(names)), *cells).alias("metric", "value"))
+    return df.select(*keep, F.stack(F.lit(len(names)), *cells).alias("metric", "value"))
 
 
 def exact_match_rows(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rewardtables.constants import BAND_ORDINALS, BENCHMARK_ROWS, MAX_PROMPT_TOKENS, RISK_LEVELS
 from rewardtables.functions import bands, chat, rewards, text, tokens
 from rewardtables.operators import (
+    evaluation,
     folds,
     labels,
     metrics,
@@ -215,15 +216,18 @@ def benchmark_exact_match_all(spark, sf_dir):
 FIELDS = {
     "pred_ret_1y": ("returns_1y", BAND_ORDINALS["returns"]),
     "pred_vol_1y": ("volatility_1y", BAND_ORDINALS["volatility"]),
+    "pred_ret_5y": ("returns_5y", BAND_ORDINALS["returns"]),
+    "pred_vol_5y": ("volatility_5y", BAND_ORDINALS["volatility"]),
 }
 
 
-def _parsed(df: DataFrame) -> DataFrame:
+def _parsed(df: DataFrame, *keep: str) -> DataFrame:
     truth = [
-        F.col("ground_truth_returns_1y").alias("gt_ret_1y"),
-        F.col("ground_truth_volatility_1y").alias("gt_vol_1y"),
+        F.col(f"ground_truth_{band}_{horizon}").alias(f"gt_{band[:3]}_{horizon}")
+        for horizon in ("1y", "5y")
+        for band in ("returns", "volatility")
     ]
-    return predictions.parse_predictions(df, FIELDS, keep=["doc_id", *truth])
+    return predictions.parse_predictions(df, FIELDS, keep=["doc_id", *keep, *truth])
 
 
 @_query
@@ -307,16 +311,74 @@ def band_metrics_by_horizon(spark, sf_dir):
 def evaluation_metric_map(spark, sf_dir):
     """From financial examples with completions to the metric map: filter, parse, measure.
 
-    The result rows are written once; metrics and risk read that narrow table,
-    so the texts are scanned and parsed a single time.
+    Both horizons. The result rows are written once; metrics and risk read that narrow table.
     """
-    path = scratch.scratch_dir(spark, "evaluation")
-    examples = metrics.only_task(fixtures.band_texts(spark, sf_dir))
-    tables.write_results(_parsed(examples), path)
-    parsed = tables.read_table(spark, path, f"doc_id BIGINT, {PREDICTIONS}")
-    measured = metrics.band_metrics(metrics.long_pairs(parsed, PAIRS), groups=list(PAIRS))
-    tail = risk.metric_rows(risk.var_cvar(parsed, "pred_ret_1y", "doc_id"))
-    return _rounded(metrics.metric_map(measured, suffix="_1y").unionByName(tail), "value")
+    parsed = _examples(spark, sf_dir)
+    long = [x for h in ("1y", "5y") for x in (F.lit(h), F.col(f"pred_ret_{h}"))]
+    returns = parsed.select("doc_id", F.stack(F.lit(2), *long).alias("horizon", "predicted"))
+    tails = risk.var_cvar_by(returns, ["horizon"], "predicted", "doc_id")
+    return _rounded(_band_map(parsed).unionByName(evaluation.tail_rows(tails)), "value")
+
+
+def _band_map(parsed: DataFrame) -> DataFrame:
+    by = ["band_type", "horizon"]
+    pairs = metrics.long_pairs(parsed, HORIZON_PAIRS, by=by)
+    return metrics.metric_map(metrics.band_metrics(pairs, by=by, groups=list(HORIZON_PAIRS)), by=by)
+
+
+@_query
+def metric_sink_roundtrip(spark, sf_dir):
+    """The band metrics of the evaluation, written as JSON lines and read back."""
+    path = scratch.scratch_dir(spark, "metrics")
+    tables.write_metrics(_band_map(_examples(spark, sf_dir)), path)
+    return _rounded(tables.read_table(spark, path, "metric STRING, value DOUBLE", fmt="json"), "value")
+
+
+@_query
+def confusion_state_stream(spark, sf_dir):
+    """Band metrics from a state that micro-batches add to, every batch delivered twice."""
+    base = scratch.scratch_dir(spark, "confusion")
+    # several files, a few of which make a batch
+    _pairs(spark, sf_dir).repartition(4).write.parquet(f"{base}/pairs")
+    write = evaluation.state_writer(f"{base}/state", ["band_type"])
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    reader = spark.readStream.schema("band_type STRING, gt STRING, pred STRING").option("maxFilesPerTrigger", 1)
+    query = (
+        reader.parquet(f"{base}/pairs").writeStream.foreachBatch(twice)
+        .option("checkpointLocation", f"{base}/offsets").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    cells = evaluation.read_state(spark, f"{base}/state", ["band_type"])
+    return _rounded(metrics.metrics_from_confusion(cells), "accuracy", "mse", "f1_weighted", "r2")
+
+
+def _examples(spark, sf_dir) -> DataFrame:
+    """Parsed examples of the task with their fold, written once: texts are scanned and parsed a single time."""
+    examples = splits.kfold(metrics.only_task(fixtures.band_texts(spark, sf_dir)), "doc_id", 5)
+    return scratch.staged(_parsed(examples, "fold"), "evaluation")
+
+
+def _evaluated(spark, sf_dir) -> DataFrame:
+    return evaluation.evaluate(_examples(spark, sf_dir), HORIZON_PAIRS, "doc_id", 5)
+
+
+@_query
+def kfold_evaluation(spark, sf_dir):
+    """Every metric of every fold and of all folds together, both horizons, one scan of the examples."""
+    return _rounded(_evaluated(spark, sf_dir), "value")
+
+
+@_query
+def kfold_summary(spark, sf_dir):
+    """The evaluation's folds published as files, read back as the current version, and summarised."""
+    base = scratch.scratch_dir(spark, "kfold")
+    by_fold = _evaluated(spark, sf_dir).where("fold IS NOT NULL")
+    fold_files.publish_fold_metrics(by_fold, base)
+    return _rounded(folds.summarise(fold_files.read_fold_metrics(spark, base, 5)), "mean", "std_dev")
 
 
 # --- risk ---------------------------------------------------------------------
@@ -328,6 +390,23 @@ def var_cvar_simulated(spark, sf_dir):
     return _rounded(out, "var", "cvar")
 
 
+@_query
+def var_cvar_by_fold(spark, sf_dir):
+    """Simulated risk of every fold and horizon, and of each horizon as a whole, in one pass."""
+    df = splits.kfold(fixtures.predictions(spark, sf_dir), "doc_id", 5)
+    long = [x for h in ("1y", "5y") for x in (F.lit(h), F.col(f"pred_ret_{h}"))]
+    df = scratch.staged(df.select("doc_id", "fold", F.stack(F.lit(2), *long).alias("horizon", "predicted")), "returns")
+    sets = [["horizon", "fold"], ["horizon"]]
+    return _rounded(risk.var_cvar_by(df, ["horizon", "fold"], "predicted", "doc_id", sets=sets), "var", "cvar")
+
+
+@_query
+def var_cvar_unusable(spark, sf_dir):
+    """Risk of predictions none of which has a distribution: one row without values."""
+    out = risk.var_cvar(fixtures.predictions(spark, sf_dir), "pred_vol_1y", "doc_id")
+    return _rounded(out, "var", "cvar")
+
+
 @_query
 def var_cvar_mixture(spark, sf_dir):
     out = risk.var_cvar_mixture(fixtures.predictions(spark, sf_dir), "pred_ret_1y")

@@ -161,22 +161,26 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Financial examples whose predictions are text, in three layouts."""
+    """Financial examples whose predictions of both horizons are text, in three layouts."""
     rows = _predicted(spark, sf_dir, "text")
     key = F.col("doc_id")
     ret = F.coalesce("pred_ret_1y", F.lit("up"))
     vol = F.coalesce("pred_vol_1y", F.lit("huge"))
+    ret_5y, vol_5y = F.coalesce("pred_ret_5y", F.lit("up")), F.coalesce("pred_vol_5y", F.lit("huge"))
+    later = F.concat(
+        F.lit("<returns_5y>"), ret_5y, F.lit("</returns_5y>\n<volatility_5y>"), vol_5y, F.lit("</volatility_5y>\n")
+    )
     risk = _choose(
         key % 4, F.lit("low risk"), F.lit("Moderate Risk"), F.lit("very high risk"), F.lit("none")
     )
     shouted = F.concat(
         F.lit("<answer>\n<returns_1y>bad</returns_1y>\n</answer>\n<answer>\n<returns_1y>  "),
         F.upper(ret), F.lit("  </returns_1y>\n<volatility_1y>\t"), F.upper(vol),
-        F.lit("\n</volatility_1y>\n</answer>"),
+        F.lit("\n</volatility_1y>\n"), F.upper(later), later, F.lit("</answer>"),
     )
     plain = F.concat(
         F.lit("<returns_1y>"), ret, F.lit("</returns_1y>\n<volatility_1y>"), vol,
-        F.lit("</volatility_1y>\n<risk_level>"), risk, F.lit("</risk_level>"),
+        F.lit("</volatility_1y>\n"), later, F.lit("<risk_level>"), risk, F.lit("</risk_level>"),
     )
     completion = _choose(
         key % 5, ret, F.concat("text", F.lit("\n"), shouted), render_cot(F.col("text"), plain)
@@ -187,6 +191,8 @@ def band_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("prompt"),
         F.col("gt_ret_1y").alias("ground_truth_returns_1y"),
         F.col("gt_vol_1y").alias("ground_truth_volatility_1y"),
+        F.col("gt_ret_5y").alias("ground_truth_returns_5y"),
+        F.col("gt_vol_5y").alias("ground_truth_volatility_5y"),
         completion.alias("completion"),
     )
 

@@ -84,6 +84,10 @@ def _r6(e: str) -> str:
     return f"round({e}, 6) + 0.0"
 
 
+_LATER = (
+    f"('<returns_5y>'||coalesce(pred_ret_5y, 'up')||'</returns_5y>'||{_NL}||'<volatility_5y>'||"
+    f"coalesce(pred_vol_5y, 'huge')||'</volatility_5y>'||{_NL})"
+)
 _RETURNS = "'bad', 'neutral', 'good'"
 _VOLATILITY = "'low', 'medium', 'high'"
 _LEVELS = "'low risk', 'moderate risk', 'high risk', 'very high risk'"
@@ -152,14 +156,15 @@ _CTES = {
     "band_texts": f"""
       select doc_id, case when doc_id % 7 = 0 then null else doc_id % 6 <> 0 end as is_grpo_task,
         text as prompt, gt_ret_1y as ground_truth_returns_1y,
-        gt_vol_1y as ground_truth_volatility_1y,
+        gt_vol_1y as ground_truth_volatility_1y, gt_ret_5y as ground_truth_returns_5y,
+        gt_vol_5y as ground_truth_volatility_5y,
         case doc_id % 5 when 0 then coalesce(pred_ret_1y, 'up')
           when 1 then text||{_NL}||'<answer>'||{_NL}||'<returns_1y>bad</returns_1y>'||{_NL}||
             '</answer>'||{_NL}||'<answer>'||{_NL}||'<returns_1y>  '||
             upper(coalesce(pred_ret_1y, 'up'))||'  </returns_1y>'||{_NL}||'<volatility_1y>'||chr(9)||
-            upper(coalesce(pred_vol_1y, 'huge'))||{_NL}||'</volatility_1y>'||{_NL}||'</answer>'
+            upper(coalesce(pred_vol_1y, 'huge'))||{_NL}||'</volatility_1y>'||{_NL}||upper({_LATER})||{_LATER}||'</answer>'
           else {_cot('text', f'''('<returns_1y>'||coalesce(pred_ret_1y, 'up')||'</returns_1y>'||{_NL}||
-            '<volatility_1y>'||coalesce(pred_vol_1y, 'huge')||'</volatility_1y>'||{_NL}||
+            '<volatility_1y>'||coalesce(pred_vol_1y, 'huge')||'</volatility_1y>'||{_NL}||{_LATER}||
             '<risk_level>'||case doc_id % 4 when 0 then 'low risk' when 1 then 'Moderate Risk'
               when 2 then 'very high risk' else 'none' end||'</risk_level>')''')}
         end as completion
@@ -167,8 +172,12 @@ _CTES = {
     "parsed": f"""
       select doc_id, is_grpo_task, ground_truth_returns_1y as gt_ret_1y,
         ground_truth_volatility_1y as gt_vol_1y,
+        ground_truth_returns_5y as gt_ret_5y, ground_truth_volatility_5y as gt_vol_5y,
         {_tagged('completion', 'returns_1y', _RETURNS)} as pred_ret_1y,
-        {_tagged('completion', 'volatility_1y', _VOLATILITY)} as pred_vol_1y
+        {_tagged('completion', 'volatility_1y', _VOLATILITY)} as pred_vol_1y,
+        {_tagged('completion', 'returns_5y', _RETURNS)} as pred_ret_5y,
+        {_tagged('completion', 'volatility_5y', _VOLATILITY)} as pred_vol_5y,
+        cast({_hash52("'42:'||doc_id")} % 5 as int) as fold
       from band_texts""",
     "pairs": """
       select * from (
@@ -176,11 +185,13 @@ _CTES = {
         union all select 'volatility', gt_vol_1y, pred_vol_1y from predictions)
       where gt is not null and pred is not null""",
     "parsed_pairs": """
-      select * from (
-        select 'returns' as band_type, gt_ret_1y as gt, pred_ret_1y as pred from parsed
-          where is_grpo_task
-        union all select 'volatility', gt_vol_1y, pred_vol_1y from parsed where is_grpo_task)
-      where gt is not null and pred is not null""",
+      select band_type, horizon, gt, pred, unnest([fold, -1]) as fold from (
+        select 'returns' as band_type, '1y' as horizon, gt_ret_1y as gt, pred_ret_1y as pred, fold, is_grpo_task
+          from parsed
+        union all select 'volatility', '1y', gt_vol_1y, pred_vol_1y, fold, is_grpo_task from parsed
+        union all select 'returns', '5y', gt_ret_5y, pred_ret_5y, fold, is_grpo_task from parsed
+        union all select 'volatility', '5y', gt_vol_5y, pred_vol_5y, fold, is_grpo_task from parsed)
+      where is_grpo_task and gt is not null and pred is not null""",
     "horizon_pairs": """
       select * from (
         select 'returns' as band_type, '1y' as horizon, gt_ret_1y as gt, pred_ret_1y as pred
@@ -244,19 +255,34 @@ _CTES = {
       from returns a left join returns b on b.ticker = a.ticker
         and b.month > a.month and b.month <= a.month + interval 60 month
       group by 1, 2""",
+    "returns_by_fold": f"""
+      select doc_id, '1y' as horizon, pred_ret_1y as band, cast({_hash52("'42:'||doc_id")} % 5 as int) as fold
+        from predictions
+      union all select doc_id, '5y', pred_ret_5y, cast({_hash52("'42:'||doc_id")} % 5 as int) from predictions""",
+    "parsed_returns": """
+      select doc_id, '1y' as horizon, pred_ret_1y as band, fold from parsed where is_grpo_task
+      union all select doc_id, '5y', pred_ret_5y, fold from parsed where is_grpo_task""",
     "draws": """
-      select mean + std * sqrt(-2.0 * ln(u1)) * cos(2.0 * pi() * u2) as x
+      select horizon, fold, mean + std * sqrt(-2.0 * ln(u1)) * cos(2.0 * pi() * u2) as x
       from (
-        select case pred_ret_1y when 'bad' then -0.15 when 'neutral' then 0.05 else 0.20 end::double as mean,
-          case pred_ret_1y when 'bad' then 0.20 when 'neutral' then 0.15 else 0.25 end::double as std,
+        select horizon, fold, case band when 'bad' then -0.15 when 'neutral' then 0.05 else 0.20 end::double as mean,
+          case band when 'bad' then 0.20 when 'neutral' then 0.15 else 0.25 end::double as std,
           (cast('0x'||substr(h, 1, 13) as bigint) + 0.5) / 4503599627370496.0::double as u1,
           (cast('0x'||substr(h, 14, 13) as bigint) + 0.5) / 4503599627370496.0::double as u2
-        from (select pred_ret_1y, md5(doc_id||':'||i) as h
-          from predictions, range(1, 1001) t(i) where pred_ret_1y is not null))""",
+        from (select horizon, fold, band, md5(doc_id||':'||i) as h
+          from returns_by_fold, range(1, 1001) t(i) where band is not null))""",
+    # per horizon and fold, the total as fold -1
+    "tails": """
+      select g.horizon, g.fold, any_value(g.var) as var, avg(d.x) filter (d.x <= g.var) as cvar,
+        count(*) // 1000 as n_predictions
+      from (select horizon, f as fold, quantile_cont(x, 0.05) as var
+            from (select horizon, x, unnest([fold, -1]) as f from draws) group by all) g
+      join (select horizon, x, unnest([fold, -1]) as fold from draws) d
+        on d.horizon = g.horizon and d.fold = g.fold
+      group by g.horizon, g.fold""",
 }
-_CTES["parsed_draws"] = _CTES["draws"].replace(
-    "from predictions, range(1, 1001) t(i) where", "from parsed, range(1, 1001) t(i) where is_grpo_task and"
-)
+_CTES["parsed_draws"] = _CTES["draws"].replace("from returns_by_fold,", "from parsed_returns,")
+_CTES["parsed_tails"] = _CTES["tails"].replace("from draws", "from parsed_draws")
 
 _NEEDS = {
     "band_texts": ["predictions"],
@@ -271,8 +297,12 @@ _NEEDS = {
     "padded": ["sequences"],
     "returns": ["series"],
     "volatility": ["returns"],
-    "draws": ["predictions"],
-    "parsed_draws": ["parsed"],
+    "returns_by_fold": ["predictions"],
+    "parsed_returns": ["parsed"],
+    "draws": ["returns_by_fold"],
+    "parsed_draws": ["parsed_returns"],
+    "tails": ["draws"],
+    "parsed_tails": ["parsed_draws"],
 }
 
 
@@ -352,8 +382,18 @@ def oracle_sql() -> dict[str, str]:
         f"select metric, {_r6('avg(value) filter (not isnan(value))')} as mean, "
         f"{_r6('stddev_samp(value) filter (not isnan(value))')} as std_dev "
     )
-    quantile = "(select quantile_cont(x, 0.05) from parsed_draws)"
-    tail_mean = f"(select avg(x) from parsed_draws where x <= {quantile})"
+    # (fold, metric, value) of the whole evaluation, the total as fold -1
+    metric_values = f"""
+      select fold, unnest(['accuracy_'||band_type||'_'||horizon, 'mse_'||band_type||'_'||horizon,
+          'f1_weighted_'||band_type||'_'||horizon, 'r2_score_'||band_type||'_'||horizon]) as metric,
+        unnest([accuracy, mse, f1, r2]) as value
+      from base join f1 using (band_type, horizon, fold)"""
+    evaluated = f"""
+      {metric_values}
+      union all select fold, unnest(['portfolio_VaR_95', 'portfolio_CVaR_95'])||
+          case horizon when '1y' then '' else '_'||horizon end, unnest([var, cvar])
+      from parsed_tails"""
+    by_fold = _metric_ctes("parsed_pairs", "band_type, horizon, fold")
     fold_nan = (
         "select fold, metric, case when fold = 1 and metric = 'accuracy_good' "
         "then 'nan'::double else value end as value from fold_metrics"
@@ -449,7 +489,7 @@ def oracle_sql() -> dict[str, str]:
             "bench",
         ),
         "parse_band_prediction": _with(
-            "select doc_id, gt_ret_1y, gt_vol_1y, pred_ret_1y, pred_vol_1y from parsed", "parsed"
+            "select doc_id, gt_ret_1y, gt_vol_1y, pred_ret_1y, pred_vol_1y, gt_ret_5y, gt_vol_5y, pred_ret_5y, pred_vol_5y from parsed", "parsed"
         ),
         "parse_risk_level": _with(
             f"select doc_id, {_tagged('completion', 'risk_level', _LEVELS)} as risk_level "
@@ -483,20 +523,37 @@ def oracle_sql() -> dict[str, str]:
             "horizon_pairs", "band_type, horizon", ["horizon_pairs"], _ALL_METRICS
         ),
         "evaluation_metric_map": _with(
-            f"""select unnest(['accuracy_'||band_type||'_1y', 'mse_'||band_type||'_1y',
-                'f1_weighted_'||band_type||'_1y', 'r2_score_'||band_type||'_1y']) as metric,
-              unnest([{_r6('accuracy')}, {_r6('mse')}, {_r6('f1')}, {_r6('r2')}]) as value
-              from base join f1 using (band_type)
-              union all select 'portfolio_VaR_95', {_r6(quantile)}
-              union all select 'portfolio_CVaR_95', {_r6(tail_mean)}""",
-            "parsed_pairs", "parsed_draws",
-            **_metric_ctes("parsed_pairs", "band_type"),
+            f"select metric, {_r6('value')} as value from ({evaluated}) where fold = -1",
+            "parsed_pairs", "parsed_tails", **by_fold,
+        ),
+        "kfold_evaluation": _with(
+            f"select case when fold >= 0 then fold end as fold, metric, {_r6('value')} as value from ({evaluated})",
+            "parsed_pairs", "parsed_tails", **by_fold,
+        ),
+        "kfold_summary": _with(
+            f"""select metric, {_r6('avg(value)')} as mean, {_r6('stddev_samp(value)')} as std_dev
+              from ({evaluated}) where fold >= 0 group by metric""",
+            "parsed_pairs", "parsed_tails", **by_fold,
+        ),
+        "metric_sink_roundtrip": _with(
+            f"select metric, {_r6('value')} as value from ({metric_values}) where fold = -1",
+            "parsed_pairs", **by_fold,
+        ),
+        "confusion_state_stream": _metrics("pairs", "band_type", ["pairs"], _ALL_METRICS),
+        "var_cvar_by_fold": _with(
+            f"""select horizon, case when fold >= 0 then fold end as fold, {_r6('var')} as var, {_r6('cvar')} as cvar,
+              n_predictions from tails""",
+            "tails",
+        ),
+        "var_cvar_unusable": _with(
+            """select avg(x) as var, min(x) as cvar, count(x) as n_predictions
+              from (select null::double as x from predictions where pred_vol_1y in ('bad', 'neutral', 'good'))""",
+            "predictions",
         ),
         "var_cvar_simulated": _with(
-            f"""select {_r6('var')} as var, {_r6('(select avg(x) from draws where x <= var)')} as cvar,
-                n_predictions from (
-              select quantile_cont(x, 0.05) as var, count(*) // 1000 as n_predictions from draws)""",
-            "draws",
+            f"""select {_r6('var')} as var, {_r6('cvar')} as cvar, n_predictions
+              from tails where horizon = '1y' and fold = -1""",
+            "tails",
         ),
         "var_cvar_mixture": _with(
             # the mixture's density summed over narrow cells instead of a closed form

@@ -98,3 +98,57 @@ def test_distribution_without_spread(spark):
         risk.var_cvar_mixture(df, "b", dist={"flat": (0.25, 0.0)}).first(),
     ):
         assert (row["var"], row["cvar"]) == (pytest.approx(0.25), pytest.approx(0.25))
+
+
+def grouped(spark, n):
+    fold = F.when(F.col("k") % 3 != 0, F.lit(1)).otherwise((F.col("k") % 4).cast("int") + 2)
+    return bands(spark, n).withColumns({"fold": F.when(F.col("k") % 11 != 0, fold), "h": F.lit("1y")})
+
+
+def by_sorting(df, columns, draws=1000):
+    out = {}
+    for row in df.select(*columns).distinct().collect():
+        part = df
+        for c in columns:
+            part = part.where(F.col(c).eqNullSafe(F.lit(row[c])))
+        if risk.usable_predictions(part, "b", risk.BAND_DISTRIBUTIONS).count():
+            out[tuple(row)] = brute(part, draws=draws)
+    return out
+
+
+@pytest.mark.parametrize("draws", [1000, 3])
+def test_groups_and_totals_in_one_pass(spark, draws):
+    df = grouped(spark, 60)
+    got = risk.var_cvar_by(df, ["h", "fold"], "b", "k", draws=draws, sets=[["h", "fold"], ["h"], []]).collect()
+    want = [(h, f, *x) for (h, f), x in by_sorting(df, ["h", "fold"], draws).items()]
+    want += [(h, None, *x) for (h,), x in by_sorting(df, ["h"], draws).items()]
+    want += [(None, None, *brute(df, draws=draws))]
+    assert len(got) == len(want)
+    for row, (h, f, var, cvar, n) in zip(
+        sorted(got, key=lambda r: (r.h or "", r.fold or -1, r.n_predictions)),
+        sorted(want, key=lambda r: (r[0] or "", r[1] or -1, r[4])),
+        strict=True,
+    ):
+        assert (row.h, row.fold, row.n_predictions * draws) == (h, f, n)
+        assert row["var"] == pytest.approx(var, abs=1e-12) and row["cvar"] == pytest.approx(cvar, abs=1e-12)
+
+
+def test_groups_whose_interval_misses_are_passed_again(spark, monkeypatch):
+    calls = []
+    tails = risk._group_tails
+    monkeypatch.setattr(risk, "_group_tails", lambda u, n, b, *a: calls.append(b.count()) or tails(u, n, b, *a))
+    df = grouped(spark, 200)
+    got = risk.var_cvar_by(df, ["fold"], "b", "k", width=0.02).collect()
+    want = by_sorting(df, ["fold"])
+    assert len(calls) > 1 and calls == sorted(calls, reverse=True)
+    for row in got:
+        assert row["var"] == pytest.approx(want[row.fold,][0], abs=1e-12)
+        assert row["cvar"] == pytest.approx(want[row.fold,][1], abs=1e-12)
+    assert {row.fold for row in got} == {f for (f,) in want}
+
+
+def test_groups_without_predictions(spark):
+    df = spark.createDataFrame([(1, "odd", 0), (2, None, 1)], "k INT, b STRING, fold INT")
+    assert risk.var_cvar_by(df, ["fold"], "b", "k").collect() == []
+    with pytest.raises(ValueError, match="grouping sets"):
+        risk.var_cvar_by(df, ["fold"], "b", "k", sets=[["other"]])
