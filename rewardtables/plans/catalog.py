@@ -608,12 +608,14 @@ def streaming_sample(spark, sf_dir):
     """The exact sample per bucket, gathered by a stream over the events."""
     base = scratch.scratch_dir(spark, "samples")
     write = periodic.sample_writer(f"{base}/out", "event_id", "event_id")
+    stream = fixtures.rollout_stream(spark, sf_dir)
     query = (
-        fixtures.rollout_stream(spark, sf_dir).writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return _rounded(periodic.sampled_eval(spark, f"{base}/out", "event_id", "event_id"), *_MEANS)
+    sampled = periodic.sampled_eval(spark, f"{base}/out", stream.schema, "event_id", "event_id")
+    return _rounded(sampled, *_MEANS)
 
 
 # --- price labels -------------------------------------------------------------

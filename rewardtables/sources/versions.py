@@ -23,19 +23,42 @@ def _file_system(spark: SparkSession, base: str):
     return hadoop, root, root.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def current_runs(spark: SparkSession, base_dir: str) -> list[str]:
-    """Names of the runs that are kept, the current one first; none if nothing was published."""
+def manifest(spark: SparkSession, base_dir: str) -> str:
+    """What the file ``CURRENT`` says; empty if there is none."""
     hadoop, root, fs = _file_system(spark, base_dir)
     place = hadoop.Path(root, _CURRENT)
     if not fs.exists(place):
-        return []
+        return ""
     stream = fs.open(place)
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
+def set_manifest(spark: SparkSession, base_dir: str, text: str) -> None:
+    """Replace the file ``CURRENT`` in one step."""
+    hadoop, root, fs = _file_system(spark, base_dir)
+    new = hadoop.Path(root, f".{_CURRENT}-{uuid.uuid4().hex}")
+    out = fs.create(new, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    replace(spark, new, hadoop.Path(root, _CURRENT))
+
+
+def delete(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        hadoop, root, fs = _file_system(spark, folder)
+        fs.delete(root, True)
+
+
+def current_runs(spark: SparkSession, base_dir: str) -> list[str]:
+    """Names of the runs that are kept, the current one first; none if nothing was published."""
+    return manifest(spark, base_dir).split()
+
+
 def current(spark: SparkSession, base_dir: str) -> str | None:
     """Folder of the current version."""
     runs = current_runs(spark, base_dir)
@@ -63,15 +86,7 @@ def publish(spark: SparkSession, base_dir: str, write: Callable[[str], None], ke
     base = base_dir.rstrip("/")
     run = _RUN + uuid.uuid4().hex
     write(f"{base}/{run}")
-    hadoop, root, fs = _file_system(spark, base)
     kept = [run, *current_runs(spark, base)]
-    place, new = hadoop.Path(root, _CURRENT), hadoop.Path(root, f".{_CURRENT}-{uuid.uuid4().hex}")
-    out = fs.create(new, False)
-    try:
-        out.write(bytearray("\n".join(kept[:keep]).encode()))
-    finally:
-        out.close()
-    replace(spark, new, place)
-    for old in kept[keep:]:
-        fs.delete(hadoop.Path(root, old), True)
+    set_manifest(spark, base, "\n".join(kept[:keep]))
+    delete(spark, [f"{base}/{old}" for old in kept[keep:]])
     return f"{base}/{run}"

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rewardtables.constants import EVAL_EVERY, EVAL_SAMPLES
 from rewardtables.functions import rewards
 from rewardtables.functions.hashing import key_hash, key_unit
+from rewardtables.sources import deltas
 
 _SLOT_BITS = 10
 
@@ -126,25 +127,29 @@ def start_windows(
     """Start writing a stream's windows to ``path``, each whenever it has changed.
 
     A window's state goes once the watermark closes it, so state stays bounded; windows that
-    are open when a finite input ends have been written, too. A micro-batch that
-    is run again replaces its own folder. ``read_windows`` has the last state of each.
+    are open when a finite input ends have been written, too. A micro-batch that is run again
+    changes nothing. ``read_windows`` has the last state of each; older states go when folders are merged.
     """
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def add(batch: DataFrame, batch_id: int) -> None:
+        deltas.append(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), path, batch_id, _last_windows)
 
     writer = windows.writeStream.option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.outputMode("update").foreachBatch(replace).start()
+    return writer.outputMode("update").foreachBatch(add).start()
+
+
+def _last_windows(written: DataFrame) -> DataFrame:
+    """Each window as the latest batch has it."""
+    values = F.struct(*written.columns)
+    return written.groupBy("window_start").agg(F.max_by(values, "batch_id").alias("w")).select("w.*")
 
 
 def read_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every window that ``start_windows`` has written, once, as it was last."""
-    written = spark.read.schema(schema.add("batch_id", "long")).parquet(path)
-    values = F.struct(*(c for c in written.columns if c != "batch_id"))
-    last = written.groupBy("window_start").agg(F.max_by(values, "batch_id").alias("w"))
-    return last.select("w.*")
+    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return _last_windows(deltas.read(spark, path, stored)).drop("batch_id")
 
 
 def sample_writer(
@@ -154,17 +159,21 @@ def sample_writer(
     every: int = EVAL_EVERY,
     samples: int = EVAL_SAMPLES,
     seed: int = 42,
+    merge_every: int = deltas.EVERY,
 ):
-    """A ``foreachBatch`` function that keeps each micro-batch's candidates for the exact sample.
+    """A ``foreachBatch`` function that keeps the candidates for the exact sample of all batches.
 
     A bucket's least hashes over all batches lie among the least of each batch, so
-    ``samples`` rows per bucket and batch are enough. A batch that is run again
-    replaces its own folder.
+    ``samples`` rows per bucket and batch are enough. Folders of batches are merged now and then to as many
+    rows per bucket, so what is stored grows with the buckets, not with the batches. A
+    batch that is run again changes nothing.
     """
 
+    def least(rows: DataFrame) -> DataFrame:
+        return sample_per_bucket(rows, step, key, every, samples, seed).drop("eval_step").select(rows.columns)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        candidates = sample_per_bucket(batch, step, key, every, samples, seed).drop("eval_step")
-        candidates.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        deltas.append(least(batch), path, batch_id, least, merge_every)
 
     return write
 
@@ -172,11 +181,15 @@ def sample_writer(
 def sampled_eval(
     spark: SparkSession,
     path: str,
+    schema: T.StructType,
     step: str,
     key: str,
     every: int = EVAL_EVERY,
     samples: int = EVAL_SAMPLES,
     seed: int = 42,
 ) -> DataFrame:
-    """``periodic_eval`` over the candidates of ``sample_writer``: equal to it over all rows."""
-    return periodic_eval(spark.read.parquet(path), step, every, samples, key, seed)
+    """``periodic_eval`` over the candidates of ``sample_writer``: equal to it over all rows.
+
+    ``schema`` is that of the stream.
+    """
+    return periodic_eval(deltas.read(spark, path, schema), step, every, samples, key, seed)

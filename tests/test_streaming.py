@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from rewardtables.plans import fixtures
+from rewardtables.sources import deltas
 from rewardtables.streaming import periodic
 
 
@@ -86,14 +88,18 @@ def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
 
 def test_exact_sample_over_micro_batches(spark, parts, sf_dir, tmp_path):
     path = str(tmp_path / "candidates")
-    write = periodic.sample_writer(path, "event_id", "event_id", every=3000, samples=32)
+    write = periodic.sample_writer(path, "event_id", "event_id", every=3000, samples=32, merge_every=3)
+    source = stream(spark, parts)
     query = (
-        stream(spark, parts).writeStream.foreachBatch(write)
+        source.writeStream.foreachBatch(write)
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     )
     query.awaitTermination(120)
-    write(spark.read.parquet(f"{path}/batch_id=0"), 0)  # a batch that runs again
-    got = periodic.sampled_eval(spark, path, "event_id", "event_id", every=3000, samples=32)
+    kept = lambda: deltas.read(spark, path, source.schema)
+    rows = kept().count()
+    write(kept().limit(5), 0)  # a batch that runs again
+    assert kept().count() == rows
+    got = periodic.sampled_eval(spark, path, source.schema, "event_id", "event_id", every=3000, samples=32)
     expected = periodic.periodic_eval(fixtures.rollouts(spark, sf_dir), "event_id", every=3000, samples=32)
     a, b = ({r["eval_step"]: tuple(r) for r in df.collect()} for df in (got, expected))
     assert set(a) == set(b) and len(a) > 1
@@ -101,6 +107,26 @@ def test_exact_sample_over_micro_batches(spark, parts, sf_dir, tmp_path):
         assert a[step] == pytest.approx(row)
 
 
+def test_stored_candidates_are_bounded_by_the_buckets(spark, tmp_path):
+    path = str(tmp_path / "candidates")
+    write = periodic.sample_writer(path, "step", "id", every=100, samples=8, merge_every=4)
+    df = spark.range(3000).select("id", (F.col("id") % 200).alias("step"))
+    counts, folders, opened = [], [], None
+    for batch in range(20):
+        write(df.where(F.col("id") % 20 == batch), batch)
+        counts.append(deltas.read(spark, path, df.schema).count())
+        folders.append(len([x for x in os.listdir(path) if x.startswith(("batch-", "merged-"))]))
+        if batch == 6:
+            opened = deltas.read(spark, path, df.schema)
+        if batch == 7:  # merged since: the old folders are there until the next merge
+            assert opened.count() == counts[6]
+    # two buckets: at most 8 rows each in the merged folder and in every batch since
+    assert max(counts) <= 4 * 2 * 8 and max(folders) <= 8
+    got = periodic.sample_per_bucket(deltas.read(spark, path, df.schema), "step", "id", samples=8)
+    want = periodic.sample_per_bucket(df, "step", "id", samples=8)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
 def test_written_windows_are_complete(spark, parts, sf_dir, tmp_path):
     windows = periodic.periodic_eval_stream(stream(spark, parts), "ts", "1 day", "40 days")
     out = str(tmp_path / "out")
