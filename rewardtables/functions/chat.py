@@ -13,6 +13,7 @@ _END_OF_TURN = "<|eot_id|>"
 _ASCII_SPACES = " \t\n\x0b\f\r"
 _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 _TOKEN = "[^ \\t\\n\\x0B\\f\\r]+"
+_NEAR = 12
 
 
 def render_chat(messages: Column, add_generation: bool = True) -> Column:
@@ -46,10 +47,25 @@ def keep_last(tokens: Column, n: int) -> Column:
 
 
 def last_tokens(text: Column, n: int) -> Column:
-    """The text from its n-th last token on, white space and all; shorter texts stay untouched."""
+    """The text from its n-th last token on, white space and all; shorter texts stay untouched.
+
+    Texts of up to 2 n characters have no more tokens than n. Of longer ones the last ``_NEAR`` n characters are
+    looked at first; only if these have too few tokens the whole text is cut up.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
-    tokens = F.slice(whitespace_tokens(text), -n, n)
-    gaps = F.slice(F.split(text, _TOKEN), -n, n)  # behind each of these tokens
-    size = F.length(F.array_join(tokens, "")) + F.length(F.array_join(gaps, ""))
-    return F.when(F.regexp_count(text, F.lit(_TOKEN)) <= n, text).otherwise(F.right(text, size))
+
+    def cut(c: Column) -> Column:
+        tokens = F.slice(whitespace_tokens(c), -n, n)
+        gaps = F.slice(F.split(c, _TOKEN), -n, n)  # behind each of these tokens
+        return F.right(c, F.length(F.array_join(tokens, "")) + F.length(F.array_join(gaps, "")))
+
+    near = F.right(text, F.lit(_NEAR * n))
+    count = lambda c: F.regexp_count(c, F.lit(_TOKEN))
+    # the first token of the end may be a part of one: there must be one more
+    return (
+        F.when(F.length(text) <= 2 * n, text)
+        .when(count(near) > n, cut(near))
+        .when(count(text) <= n, text)
+        .otherwise(cut(text))
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from typing import Protocol
 
@@ -42,6 +43,63 @@ class Tokenizer(Protocol):
     def decode_batch(self, ids: list[list]) -> list[str]: ...
 
 
+class FileTokenizer:
+    """The tokenizer of a file in the format of the tokenizers library, opened once per worker.
+
+    It tells places instead of texts: a prompt is cut where its n-th last token begins, so what is
+    left is a part of the prompt, letter by letter, whatever the tokenizer would decode.
+    """
+
+    _open: dict[str, object] = {}
+
+    def __init__(self, path: str, characters: int = 1_000_000) -> None:
+        self.path, self.characters = path, characters
+
+    def _file(self):
+        if self.path not in self._open:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer as Opened
+
+            opened = Opened.from_file(self.path)
+            opened.no_truncation()
+            opened.no_padding()
+            self._open[self.path] = opened
+        return self._open[self.path]
+
+    def tail_starts(self, texts: list[str], n: int) -> list[int]:
+        """The character at which the n-th last token of each text begins; 0 for texts of no more tokens.
+
+        Texts are encoded whole, some ``characters`` at a time.
+        """
+        starts, held, size = [], [], 0
+        for i, text in enumerate(texts):
+            held.append(text)
+            size += len(text)
+            if size >= self.characters or i == len(texts) - 1:
+                for code in self._file().encode_batch(held, add_special_tokens=False):
+                    starts.append(code.offsets[-n][0] if len(code) > n else 0)
+                held, size = [], 0
+        return starts
+
+
+def _arrow_places(tokenizer: FileTokenizer, max_tokens: int):
+    """Texts cut at places of the tokenizer; those too short for so many tokens are not encoded.
+
+    A token stands for a byte at least, and normal forms and small letters make no text five times as long.
+    """
+
+    @F.pandas_udf("string")
+    def tail(texts: pd.Series) -> pd.Series:
+        long = texts[texts.map(lambda t: t is not None and 5 * len(t.encode()) > max_tokens).astype(bool)]
+        out = texts.copy()
+        if len(long):
+            starts = tokenizer.tail_starts(long.tolist(), max_tokens)
+            out[long.index] = [t[at:] for t, at in zip(long, starts)]
+        return out
+
+    return tail
+
+
 def _arrow_tail(tokenizer: Tokenizer, max_tokens: int):
     """One encode and one decode call per Arrow batch; only texts that are too long change."""
 
@@ -62,7 +120,7 @@ def format_prompts(
     df: DataFrame,
     max_tokens: int | None,
     system_prompt: str = RISK_SYSTEM_PROMPT,
-    tokenizer: Tokenizer | None = None,
+    tokenizer: Tokenizer | FileTokenizer | None = None,
     render: Callable[[Column], Column] = render_chat,
     prompt: str = "prompt",
     keep: tuple[str, ...] = (),
@@ -70,7 +128,8 @@ def format_prompts(
     """Render system and user message and keep the last ``max_tokens`` tokens, None for all.
 
     Returns ``prompt`` (and the columns named in ``keep``). Tokens are white-space
-    separated, and what is kept of a text keeps its white space, unless a tokenizer is given.
+    separated, and what is kept of a text keeps its white space, unless a tokenizer is given; a
+    ``FileTokenizer`` cuts the text where its n-th last token begins, others decode the ids they keep.
     ``render`` turns the message list into a string; a tokenizer's own chat template goes
     there.
     """
@@ -80,7 +139,12 @@ def format_prompts(
     df = df.select(*keep, rendered.alias("__chat"))
     out = F.col("__chat")
     if max_tokens is not None:
-        out = last_tokens(out, max_tokens) if tokenizer is None else _arrow_tail(tokenizer, max_tokens)(out)
+        if tokenizer is None:
+            out = last_tokens(out, max_tokens)
+        elif hasattr(tokenizer, "tail_starts"):
+            out = _arrow_places(tokenizer, max_tokens)(out)
+        else:
+            out = _arrow_tail(tokenizer, max_tokens)(out)
     return df.select(*keep, out.alias("prompt"))
 
 

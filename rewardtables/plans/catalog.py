@@ -183,6 +183,16 @@ def tokenizer_tail_truncate(spark, sf_dir):
     )
 
 
+@_query
+def word_tokenizer_tail(spark, sf_dir):
+    """Prompts cut to the last 2,048 tokens of a public word tokenizer."""
+    import public_tokenizers
+
+    tokenizer = prompts.FileTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    docs = fixtures.table(spark, sf_dir, "documents").withColumnRenamed("text", "prompt")
+    return prompts.format_prompts(docs, MAX_PROMPT_TOKENS, tokenizer=tokenizer, keep=("doc_id",))
+
+
 @_query
 def instruction_concat_first_n(spark, sf_dir):
     bench = fixtures.bench(spark, sf_dir)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,55 @@ def test_instruction_prompt(spark):
     got = prompts.instruction_prompt(df, "k", limit=2).collect()
     assert [(r["k"], r["prompt"]) for r in got] == [(1, "a\nx"), (2, None)]
     assert prompts.instruction_prompt(df, "k").count() == 3
+
+
+def test_cuts_where_the_nth_last_token_begins(spark, sf_dir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    texts += [None, "", " \n", "Ünïcode ÉTÉ  日本語 🙂 it's <|endoftext|> x", "a " * 3000, "x" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, prompt STRING").repartition(3)
+    for n in (1, 3, 40):
+        tokenizer = prompts.FileTokenizer(path, characters=5_000)
+        got = prompts.format_prompts(df, n, tokenizer=tokenizer, render=lambda m: m[1]["content"], keep=("id",))
+        for row in got.collect():
+            text = texts[row.id]
+            if text is None:
+                assert row.prompt is None
+                continue
+            code = whole.encode(text, add_special_tokens=False)
+            assert row.prompt == (text[code.offsets[-n][0] :] if len(code) > n else text)
+            if len(code) > n:  # what is left has the kept tokens, or a word's part that is cut anew
+                assert len(whole.encode(row.prompt, add_special_tokens=False)) >= 1
+
+
+def test_the_end_of_a_text_is_enough_or_not(spark):
+    from rewardtables.functions.chat import last_tokens
+
+    texts = ["a b c", "a " * 50, "word " * 9 + "x" * 500, "  lead " + "y" * 300 + " tail \n", " " * 400 + "one two three four", "x" * 400]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for n in (1, 2, 3, 7):
+        for row in df.select("t", last_tokens(F.col("t"), n).alias("got")).collect():
+            places = [m.start() for m in re.finditer(r"[^ \t\n\x0b\f\r]+", row.t)]
+            assert row.got == (row.t[places[-n] :] if len(places) > n else row.t)
+
+
+def test_query_of_the_word_tokenizer(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from rewardtables.functions.chat import render_chat
+    from rewardtables.plans import catalog
+
+    small = "/root/testdata/sf0.001"
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = {r.doc_id: r.c for r in docs.select("doc_id", render_chat(prompts.chat_messages(F.col("text"), RISK_SYSTEM_PROMPT)).alias("c")).collect()}
+    got = catalog.word_tokenizer_tail(spark, small).collect()
+    assert len(got) == len(want)
+    for row in got:
+        code = whole.encode(want[row.doc_id], add_special_tokens=False)
+        assert row.prompt == (want[row.doc_id][code.offsets[-2048][0] :] if len(code) > 2048 else want[row.doc_id])

@@ -20,7 +20,8 @@ def con(sf_dir):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES) <= set(driver.queries())
     assert set(ORACLES) <= set(driver.oracle_sql())
-    assert set(QUERIES) == set(ORACLES)
+    # a tokenizer's merges are no SQL: see test_prompts
+    assert set(QUERIES) - set(ORACLES) == {"word_tokenizer_tail"}
 
 
 def test_entry(spark):
