@@ -38,6 +38,7 @@ K = 32
 NEEDED = 4
 HUB_ROUNDS = 1
 BLOCK = 256
+VALUES = 8_192
 TASKS = 512
 
 _ODD = np.array(
@@ -164,19 +165,33 @@ def _located(lists: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def linked_rows(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Whether each set of a and each of b have a similarity of 0.75 or more."""
+    """Whether each set of a and each of b have a similarity of 0.75 or more.
+
+    Common values are counted by products of tables of sets by values, ``VALUES`` of them at a time.
+    """
     values = np.intersect1d(np.concatenate(a), np.concatenate(b))
 
-    def table(sets: list[np.ndarray]) -> np.ndarray:
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(place among the values, set), by place."""
         whole, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
         at = np.searchsorted(values, whole)
         held = at < len(values)
         held[held] = values[at[held]] == whole[held]
-        out = np.zeros((len(sets), len(values)), dtype=np.float32)
-        out[owner[held], at[held]] = 1
+        at, owner = at[held], owner[held]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    def table(n: int, at: np.ndarray, owner: np.ndarray, begin: int) -> np.ndarray:
+        lo, hi = np.searchsorted(at, [begin, begin + VALUES])
+        out = np.zeros((n, min(VALUES, len(values) - begin)), dtype=np.float32)
+        out[owner[lo:hi], at[lo:hi] - begin] = 1
         return out
 
-    common = np.rint(table(a) @ table(b).T).astype(np.int64)
+    of_a, of_b = places(a), places(b)
+    common = np.zeros((len(a), len(b)), dtype=np.int64)
+    for begin in range(0, len(values), VALUES):
+        product = table(len(a), *of_a, begin) @ table(len(b), *of_b, begin).T
+        common += np.rint(product).astype(np.int64)
     sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None]
     return 100 * common >= 75 * (sizes - common)
 
@@ -194,9 +209,8 @@ def _block_links(block: pa.Table) -> pa.Table:
         left, right = at[side[at]], at[~side[at]]
         if not len(left) or not len(right):
             continue
-        sets = block.column("full").take(pa.array(np.concatenate([left, right])))
-        sets = [x.as_py() for x in sets] if len(sets) < 3 else sets.to_pylist()
-        sets = [np.array(x, dtype=np.int64) for x in sets]
+        chosen = block.column("full").take(pa.array(np.concatenate([left, right])))
+        sets = [x.values.to_numpy(zero_copy_only=False) for x in chosen]
         linked = linked_rows(sets[: len(left)], sets[len(left) :])
         linked[ids[left][:, None] == ids[right][None]] = False
         of_left, of_right = forest(linked)
