@@ -1,19 +1,7 @@
-"""Declared schemas of the input tables."""
-
-MESSAGES = "ARRAY<STRUCT<role: STRING, content: STRING>>"
+"""Declared schemas of tables that are read back."""
 
 QA = "question STRING, answer STRING"
-PREPARED_QA = f"question STRING, answer STRING, prompt {MESSAGES}"
-PROMPTS = "prompt STRING"
-NESTED_COMPLETIONS = f"completion {MESSAGES}, answer STRING"
-PLAIN_COMPLETIONS = "completion STRING"
-BENCHMARK = "instruction STRING, input STRING, output STRING"
-FINANCIAL_EXAMPLES = (
-    "example_id BIGINT, is_grpo_task BOOLEAN, prompt STRING, "
-    "ground_truth_returns_1y STRING, ground_truth_volatility_1y STRING"
-)
 PREDICTIONS = (
     "gt_ret_1y STRING, gt_vol_1y STRING, pred_ret_1y STRING, pred_vol_1y STRING"
 )
 FOLD_METRICS = "fold INT, metric STRING, value DOUBLE"
-CHECKPOINTS = "run STRING, path STRING, name STRING, is_dir BOOLEAN"
