@@ -150,7 +150,7 @@ def format_prompts(
 
 def instruction_prompt(
     df: DataFrame,
-    order_key: str,
+    order_key: str | None = None,
     limit: int | None = None,
     instruction: str = "instruction",
     input: str = "input",
@@ -158,8 +158,10 @@ def instruction_prompt(
     """Add ``prompt`` = instruction, line feed, input.
 
     Every row is taken, or the first ``limit`` by ``order_key``: a top-k over the key,
-    without a full sort.
+    without a full sort. Without a key column see ``sources.positions.first_rows``.
     """
     if limit is not None:
+        if order_key is None:
+            raise ValueError("the first rows need a key")
         df = df.orderBy(order_key).limit(limit)
     return df.withColumn("prompt", F.concat(F.col(instruction), F.lit("\n"), F.col(input)))

@@ -26,7 +26,7 @@ from rewardtables.operators import (
     splits,
 )
 from rewardtables.plans import fixtures
-from rewardtables.sources import fold_files, scratch, tables
+from rewardtables.sources import fold_files, positions, quarantine, scratch, tables
 from rewardtables.sources.schemas import PREDICTIONS, QA
 from rewardtables.streaming import periodic
 
@@ -200,6 +200,17 @@ def instruction_concat_first_n(spark, sf_dir):
     return first.select("item_key", "prompt")
 
 
+@_query
+def first_rows_in_source_order(spark, sf_dir):
+    """The first benchmark prompts of a folder of parts without a key column, in the order of the files."""
+    path = scratch.scratch_dir(spark, "parts")
+    bench = fixtures.bench(spark, sf_dir)
+    bench.repartitionByRange(8, "item_key").sortWithinPartitions("item_key").drop("item_key").write.parquet(path)
+    schema = bench.drop("item_key").schema
+    first = positions.first_rows(tables.read_table(spark, path, schema), BENCHMARK_ROWS)
+    return prompts.instruction_prompt(first).select("prompt", "output", "generated")
+
+
 @_query
 def benchmark_result_rows(spark, sf_dir):
     every = prompts.instruction_prompt(fixtures.bench(spark, sf_dir), "item_key")
@@ -538,6 +549,40 @@ def response_log_scan(spark, sf_dir):
     return sequences.groupBy(_ids(F.col("seq")).alias("ids")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query
+def response_log_quarantine(spark, sf_dir):
+    """A log with broken lines: how often each sequence of the good ones and each broken line occurs."""
+    path = scratch.scratch_dir(spark, "lines")
+    fixtures.response_lines(spark, sf_dir).select("line").write.text(path)
+    log = quarantine.read_log(spark, path, tokens.RESPONSE_SCHEMA)
+    ids = tokens.response_ids(F.col("parsed"), EOS)
+    good = rollouts.explode_sequences(log.good.select(ids.alias("completion_ids")))
+    good = good.select(F.lit("good").alias("kind"), _ids(F.col("seq")).alias("content"))
+    every = good.unionByName(log.broken.select(F.col("reason").alias("kind"), F.col("line").alias("content")))
+    return every.groupBy("kind", "content").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def log_pairing(spark, sf_dir):
+    """Two logs without a key, completions and answers, the latter longer: paired by place and scored."""
+    base = scratch.scratch_dir(spark, "logs")
+    order = ["conv_id", "turn"]
+    scored = fixtures.completions(spark, sf_dir)
+    flat = scored.select(*order, F.translate("completion", "\n", " ").alias("value"))
+    flat.orderBy(*order).select("value").write.text(f"{base}/completions")
+    more = fixtures.table(spark, sf_dir, "benchmark").select(
+        F.lit(None).cast("bigint").alias("conv_id"), F.col("item_id").alias("turn"), F.lit("none").alias("answer")
+    )
+    answers = scored.select(*order, "answer").unionByName(more)
+    answers.orderBy(F.col("conv_id").asc_nulls_last(), "turn").select("answer").write.text(f"{base}/answers")
+    paired = positions.pair_rows(
+        spark.read.text(f"{base}/completions").withColumnRenamed("value", "completion"),
+        spark.read.text(f"{base}/answers").withColumnRenamed("value", "answer"),
+    )
+    reward = rewards.correctness(F.col("completion"), F.col("answer"))
+    return paired.select("position", "answer", reward.alias("reward"))
+
+
 @_query
 def positional_pairing(spark, sf_dir):
     pairs = tokens.zip_shortest(F.col("prompt_ids"), F.col("seq"))
@@ -652,6 +697,16 @@ def forward_return_gaps(spark, sf_dir):
     return _rounded(out, "forward_return").select("ticker", _month(), "forward_return")
 
 
+@_query
+def forward_return_asof(spark, sf_dir):
+    """Daily prices without weekends: the last price of up to a week before the day counts."""
+    df = fixtures.daily_series(spark, sf_dir)
+    df = scratch.staged(df, "daily")  # read twice: as rows and as their later prices
+    out = labels.forward_return_asof(df, "ticker", "day", "price", 12, 7, "return_1y")
+    day = F.date_format("day", "yyyy-MM-dd").alias("day")
+    return _rounded(out, "return_1y").select("ticker", day, "return_1y")
+
+
 @_query
 def forward_volatility(spark, sf_dir):
     df = fixtures.series(spark, sf_dir)

@@ -278,6 +278,22 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def response_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses as log lines, some of them broken."""
+    df, key = responses(spark, sf_dir), F.col("event_id")
+    whole = F.col("response")
+    line = _choose(
+        key % 11,
+        F.expr("left(response, length(response) - 3)"),
+        F.lit('{"completion_ids":"lost"}'),
+        F.lit("  "),
+        F.lit("[1,2]"),
+        F.lit("timed out"),
+        whole,
+    )
+    return df.select("event_id", line.alias("line"))
+
+
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directory listings of training runs, with near-miss names and plain files."""
     orders = table(spark, sf_dir, "orders")
@@ -307,6 +323,17 @@ def series(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     return labels.monthly_prices(orders, "ticker", "month", "price")
 
 
+def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices per ticker without weekends; one ticker has a third of all rows."""
+    hot = F.col("o_orderkey") % 3 == 0
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(hot, "HOT").otherwise(F.col("o_orderpriority")).alias("ticker"),
+        F.col("o_orderdate").alias("day"), F.col("o_totalprice").alias("price"),
+    )
+    weekday = F.dayofweek("day").between(2, 6)
+    return labels.daily_prices(orders.where(weekday), "ticker", "day", "price")
+
+
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat prompts of all questions and of all user turns, with their gold answers."""
     questions = prompts.prepare_qa(qa(spark, sf_dir)).select(

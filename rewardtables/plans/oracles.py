@@ -243,6 +243,17 @@ _CTES = {
     "series_gaps": """
       select * from series
       where not (ticker = '5-LOW' and (year(month) * 12 + month(month)) % 17 = 0)""",
+    "daily_series": """
+      select case when o_orderkey % 3 = 0 then 'HOT' else o_orderpriority end as ticker,
+        cast(o_orderdate as date) as day, avg(o_totalprice) as price
+      from orders where isodow(o_orderdate) <= 5 group by 1, 2""",
+    "response_lines": """
+      select event_id % 11 as fault, ids, case event_id % 4
+          when 0 then '{"completion_ids":[['||ids[1][1]||','||ids[1][2]||'],[]]}'
+          when 1 then '{"outputs":[{"token_ids":['||ids[1][1]||',7,8]}]}'
+          when 2 then '{"completion_ids":[],"outputs":[{"token_ids":['||ids[1][1]||']}]}'
+          else '{"completion_ids":[],"outputs":[]}' end as whole
+      from responses""",
     "returns": """
       select a.*, a.price / b.price as ratio, case when a.price / b.price > 0
         then ln(a.price / b.price) end as log_return
@@ -294,6 +305,7 @@ _NEEDS = {
     "fold_metrics_gap": ["fold_metrics"],
     "series_gaps": ["series"],
     "sequences": ["responses"],
+    "response_lines": ["responses"],
     "padded": ["sequences"],
     "returns": ["series"],
     "volatility": ["returns"],
@@ -467,6 +479,11 @@ def oracle_sql() -> dict[str, str]:
               order by item_key limit 100""",
             "bench",
         ),
+        "first_rows_in_source_order": _with(
+            f"""select instruction||{_NL}||input as prompt, output, generated
+              from bench order by item_key limit 100""",
+            "bench",
+        ),
         "benchmark_result_rows": _with(
             f"""select item_key, instruction||{_NL}||input as prompt, prediction,
                 output as answer, lower(prediction) = lower(output) as correct
@@ -642,6 +659,24 @@ def oracle_sql() -> dict[str, str]:
             "select array_to_string(seq, ',') as ids, count(*) as n from sequences group by 1",
             "sequences",
         ),
+        "response_log_quarantine": _with(
+            """select kind, content, count(*) as n from (
+                select 'good' as kind, array_to_string(unnest(ids), ',') as content
+                  from response_lines where fault > 4
+                union all select case fault when 0 then 'not JSON' when 1 then 'wrong type' when 2 then 'blank'
+                    when 3 then 'not an object' else 'not JSON' end,
+                  case fault when 0 then substr(whole, 1, length(whole) - 3)
+                    when 1 then '{"completion_ids":"lost"}' when 2 then '  ' when 3 then '[1,2]'
+                    else 'timed out' end
+                  from response_lines where fault <= 4) group by all""",
+            "response_lines",
+        ),
+        "log_pairing": _with(
+            f"""select row_number() over (order by conv_id, turn) - 1 as position, answer,
+                {_correct(f"replace(completion, {_NL}, ' ')", 'answer')} as reward
+              from completions""",
+            "completions",
+        ),
         "positional_pairing": _with(
             """select event_id, pos::int as pos, array_to_string([prompt_ids[i]||':'||seq[i]
                 for i in range(1, least(len(prompt_ids), len(seq)) + 1)], ',') as pairs
@@ -726,6 +761,14 @@ def oracle_sql() -> dict[str, str]:
               left join series_gaps b on b.ticker = a.ticker and b.month = a.month + interval 12 month""",
             "series_gaps",
         ),
+        "forward_return_asof": _with(
+            f"""select a.ticker, strftime(a.day, '%Y-%m-%d') as day,
+                {_r6("case when b.day >= a.day + interval 12 month - interval 7 day then b.price end / a.price - 1")}
+                  as return_1y
+              from daily_series a asof left join daily_series b
+                on b.ticker = a.ticker and a.day + interval 12 month >= b.day""",
+            "daily_series",
+        ),
         "forward_volatility": _with(
             f"select ticker, {long_month}, {_r6('v')} as volatility_1y, {_r6('v5')} as volatility_5y "
             "from volatility", "volatility"

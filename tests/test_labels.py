@@ -93,3 +93,60 @@ def test_bands(spark):
         bands.band(F.col("v"), [1.0, 0.0], ["a", "b", "c"])
     with pytest.raises(ValueError):
         bands.band(F.col("v"), [1.0], ["a"])
+
+
+def daily():
+    rng = random.Random(11)
+    start = datetime.date(2000, 1, 1)
+    days = [start + datetime.timedelta(d) for d in range(1200)]
+    return [(t, d, round(rng.uniform(50, 150), 2)) for t, share in (("hot", 0.9), ("thin", 0.05)) for d in days
+            if rng.random() < share]
+
+
+@pytest.mark.parametrize("tolerance, bucket", [(0, 366), (7, 366), (7, 10), (40, 5), (400, 366)])
+def test_asof_price_is_the_last_one_near_enough(spark, tolerance, bucket):
+    prices = daily()
+    rng = random.Random(3)
+    asked = [(t, datetime.date(1999, 12, 1) + datetime.timedelta(rng.randrange(1400))) for t in ("hot", "thin", "none")
+             for _ in range(300)]
+    asked += [(None, datetime.date(2000, 5, 5)), ("hot", None), (None, None), ("hot", datetime.date(2000, 5, 5))] * 2
+    left = spark.createDataFrame([(*a, i) for i, a in enumerate(asked)], "t STRING, at DATE, i INT")
+    extra = [("hot", datetime.date(2000, 5, 5), None), (None, datetime.date(2000, 5, 5), 1.0), ("hot", None, 1.0)]
+    right = spark.createDataFrame(prices + extra, "t STRING, d DATE, p DOUBLE")
+    got = labels.asof_price(left, right, "t", "at", "d", "p", tolerance, bucket_days=bucket)
+    assert got.columns == ["t", "at", "i", "asof_price"]
+    want = []
+    for i, (t, at) in enumerate(asked):
+        near = [(d, p) for x, d, p in prices if at and x == t and 0 <= (at - d).days <= tolerance]
+        want.append((i, max(near)[1] if near else None))
+    assert sorted((r["i"], r["asof_price"]) for r in got.collect()) == want
+
+
+def test_asof_return_and_its_plan(spark):
+    prices = daily()
+    df = spark.createDataFrame(prices, "t STRING, d DATE, p DOUBLE")
+    out = labels.forward_return_asof(df, "t", "d", "p", 12, 5)
+    at = {(t, d): p for t, d, p in prices}
+    for r in out.collect():
+        leap = (r["d"].month, r["d"].day) == (2, 29)
+        year_on = r["d"].replace(year=r["d"].year + 1, day=28 if leap else r["d"].day)
+        later = [at[r["t"], x] for x in (year_on - datetime.timedelta(k) for k in range(6)) if (r["t"], x) in at]
+        if later:
+            assert math.isclose(r["forward_return"], later[0] / r["p"] - 1)
+        else:
+            assert r["forward_return"] is None
+    plan = labels.forward_return_asof(df, "t", "d", "p", 12, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    with pytest.raises(ValueError):
+        labels.forward_return_asof(df, "t", "d", "p", 1, 28)
+    with pytest.raises(ValueError):
+        labels.asof_price(df, df, "t", "d", "d", "p", -1)
+
+
+def test_asof_prices_of_one_day(spark):
+    day = datetime.date(2001, 1, 1)
+    right = spark.createDataFrame([("x", day, 1.0), ("x", day, 3.0), ("x", day, 2.0)], "t STRING, d DATE, p DOUBLE")
+    got = labels.asof_price(right, right, "t", "d", "d", "p", 3).collect()
+    assert [r["asof_price"] for r in got] == [3.0] * 3
+    assert labels.asof_price(right.limit(0), right, "t", "d", "d", "p", 3).collect() == []
+    assert labels.asof_price(right, right.limit(0), "t", "d", "d", "p", 3).where("asof_price IS NULL").count() == 3
