@@ -10,7 +10,7 @@ import time
 import numpy as np
 import pytest
 
-from rewardtables.llm import chat_format, decontaminate, html_text, quality, substring, suffix_dedup
+from rewardtables.llm import chat_format, decontaminate, html_text, places, quality, substring, suffix_dedup
 from rewardtables.llm.places import _planes, _unplanes, window_minima
 from rewardtables.llm.suffixes import suffix_array
 
@@ -412,3 +412,29 @@ def pieces(text):
         yield found, low and found[0] != "<"
         if found.startswith(("</nav", "</div")):
             low = False
+
+
+def test_runs_of_seeds_stand_for_all_their_seeds(spark):
+    """Runs spread again give every seed; whoever holds one seed of a run holds all of it, in a row."""
+    rng = random.Random(5)
+    common = [[f"c{i}w{j}" for j in range(12)] for i in range(4)]
+    rows = []
+    for n in range(30):
+        words = [w for _ in range(6) for w in rng.choice(common) + [f"d{n}x{rng.random()}"] * rng.randrange(3)]
+        rows.append((n, n % 2, " ".join(words + ["again"] * 200 * (n % 3 == 0))))
+    texts = spark.createDataFrame(rows, "doc_id long, nth int, text string")
+    shared = places.shared_places(texts, substring.seeds, 3000)
+    want = {(x.doc_id, x.nth, x.place): x.key for x in shared.collect()}
+    runs = substring.seed_runs(shared).collect()
+    got = [(x.doc_id, x.nth, x.place + i) for x in runs for i in range(x["size"])]
+    assert len(got) == len(set(got)) and set(got) == set(want)
+    assert len(runs) < len(want) / 3
+    content = {}
+    for x in runs:
+        keys = tuple(want[x.doc_id, x.nth, x.place + i] for i in range(x["size"]))
+        assert content.setdefault(x.key, keys) == keys and keys[0] == x.key
+    inside = [k for keys in content.values() for k in keys]
+    assert len(inside) == len(set(inside))  # a seed is in one run only
+    for x in runs:
+        holders = [k for k, v in want.items() if v == x.key]
+        assert x.held == len(holders) and (x.source, x.source_nth) == min(holders)[:2]
