@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from rewardtables.constants import RISK_SYSTEM_PROMPT, SYSTEM_PROMPT
 from rewardtables.functions.chat import last_tokens, render_chat
 from rewardtables.functions.text import hash_answer, message
 
+#: texts that a worker handles at once
+TEXTS_PER_STEP = 64
+
 
 def chat_messages(user: Column, system_prompt: str = SYSTEM_PROMPT) -> Column:
     """A system message followed by one user message."""
@@ -86,16 +90,20 @@ def _arrow_places(tokenizer: FileTokenizer, max_tokens: int):
     """Texts cut at places of the tokenizer; those too short for so many tokens are not encoded.
 
     A token stands for a byte at least, and normal forms and small letters make no text five times as long.
+    A worker holds ``TEXTS_PER_STEP`` texts at a time, however long Spark's batches are.
     """
 
-    @F.pandas_udf("string")
-    def tail(texts: pd.Series) -> pd.Series:
-        long = texts[texts.map(lambda t: t is not None and 5 * len(t.encode()) > max_tokens).astype(bool)]
-        out = texts.copy()
-        if len(long):
-            starts = tokenizer.tail_starts(long.tolist(), max_tokens)
-            out[long.index] = [t[at:] for t, at in zip(long, starts)]
-        return out
+    @F.arrow_udf("string")
+    def tail(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS_PER_STEP):
+                texts = batch.slice(at, TEXTS_PER_STEP).to_pylist()
+                long = [i for i, t in enumerate(texts) if t is not None and 5 * len(t.encode()) > max_tokens]
+                if long:
+                    starts = tokenizer.tail_starts([texts[i] for i in long], max_tokens)
+                    for i, start in zip(long, starts, strict=True):
+                        texts[i] = texts[i][start:]
+                yield pa.array(texts, pa.string())
 
     return tail
 

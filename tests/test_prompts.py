@@ -118,3 +118,20 @@ def test_query_of_the_word_tokenizer(spark):
     for row in got:
         code = whole.encode(want[row.doc_id], add_special_tokens=False)
         assert row.prompt == (want[row.doc_id][code.offsets[-2048][0] :] if len(code) > 2048 else want[row.doc_id])
+
+
+class FewAtOnce:
+    """Places of a tokenizer of letters that takes few texts at a time."""
+
+    def tail_starts(self, texts, n):
+        assert len(texts) <= prompts.TEXTS_PER_STEP, len(texts)
+        return [max(0, len(t) - n) for t in texts]
+
+
+def test_a_worker_holds_few_texts_of_a_long_batch(spark):
+    rows = [(i, None if i % 7 == 0 else "" if i % 7 == 1 else "x" * (i % 50) + str(i)) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "id INT, prompt STRING").coalesce(1)
+    plain = lambda messages: messages[1]["content"]
+    got = prompts.format_prompts(df, 10, tokenizer=FewAtOnce(), render=plain, keep=("id",)).collect()
+    assert {r.id: r.prompt for r in got} == {i: t and t[-10:] for i, t in rows}
+    assert len(got) == 1_000
