@@ -26,10 +26,12 @@ from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rewardtables.llm.common import rows_of
+
 SAMPLE = 12_000
 FOLDS = 5
 THRESHOLD = 0.3
@@ -163,9 +165,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     chosen = chosen.groupBy("doc_id").agg(F.max("kind").alias("p"), F.min("kind").alias("u"))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
-    @F.pandas_udf("array<double>")
-    def stats(text: pd.Series) -> pd.Series:
-        return text.map(features)
+    @F.arrow_udf("array<double>")
+    def stats(text: pa.Array) -> pa.Array:
+        return pa.array([features(t) for t, in rows_of(text)], pa.list_(pa.float64()))
 
     rows = texts.select("p", "u", stats("text").alias("x")).collect()
     positive = np.array([r.x for r in rows if r.p == 1])
@@ -178,12 +180,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 def scored(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
     """All rows and columns, and the score of the whole text in a column of that name."""
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
         if model is None:
-            return pd.Series(0.5, index=text.index, dtype=float)
-        x = np.array([features(t) for t in text]).reshape(len(text), N_FEATURES)
-        return pd.Series(model.score(x), index=text.index)
+            return pa.array(np.full(len(text), 0.5))
+        x = np.empty((len(text), N_FEATURES))
+        for i, (t,) in enumerate(rows_of(text)):
+            x[i] = features(t)
+        return pa.array(model.score(x))
 
     return docs.withColumn(name, score("text"))
 
