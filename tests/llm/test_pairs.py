@@ -184,3 +184,48 @@ def test_chance_to_miss_a_near_duplicate():
 
     missed = sum(comb(K, i) * 0.75**i * 0.25 ** (K - i) for i in range(NEEDED))
     assert missed * 1e12 < 0.1  # links lost of 10 ** 12 at the very threshold
+
+
+def test_blocks_to_compare_go_to_tasks_of_bounded_size(spark, monkeypatch):
+    """Sets of 40 values in one group: a task gets some of its blocks, however many there are."""
+    n, per = 400, 40
+    member = spark.createDataFrame([(7, i, per, i % 4, 0) for i in range(n)], "value LONG, id LONG, n LONG, component LONG, main LONG")
+    sets = [(i, [(i // 8 * 8 if i % 4 == 1 else i) * 1_000 + k for k in range(per)]) for i in range(n)]
+    sets = spark.createDataFrame(sets, "id LONG, full ARRAY<LONG>")
+
+    whole = minhash._block_links
+
+    def bounded(block):
+        assert block.num_rows < 400, block.num_rows
+        return whole(block)
+
+    monkeypatch.setattr(minhash, "BLOCK", 32)
+    monkeypatch.setattr(minhash, "TASKS", 1)
+    monkeypatch.setattr(minhash, "TASK_VALUES", 1_000, raising=False)
+    monkeypatch.setattr(minhash, "_block_links", bounded)
+    found = reachable(range(n), [(r.a, r.b) for r in minhash.rest_links(member, sets).collect()])
+    for i in range(n):  # places 0, 1 and 5 of every eight have one set
+        assert found[i] == (i // 8 * 8 if i % 8 in (1, 5) else i)
+
+
+def test_few_rows_of_a_batch_are_python_objects():
+    import pyarrow as pa
+
+    from rewardtables.llm.common import rows_of
+
+    class Column:
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, rows):
+            return Column(self.values.slice(at, rows))
+
+        def to_pylist(self):
+            assert len(self.values) <= 256
+            return self.values.to_pylist()
+
+    a, b = pa.array(["x", None, ""] * 1_000), pa.array([[1], [], None] * 1_000)
+    assert list(rows_of(Column(a), Column(b))) == list(zip(a.to_pylist(), b.to_pylist(), strict=True))
