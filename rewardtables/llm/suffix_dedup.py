@@ -25,12 +25,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardtables.llm.common import FEW_ROWS, few_rows, free_name, steps
+from rewardtables.llm.common import FEW_ROWS, TEXTS_PER_STEP, few_rows, free_name, rows_of, steps
 from rewardtables.llm.distinct import distinct_texts
 from rewardtables.llm.minhash import mixed
 from rewardtables.llm.places import shared_places, window_minima
@@ -41,7 +40,7 @@ SPAN = 50
 ANCHOR = 24
 TEXT_BYTES = 1 << 16
 MANY = 20_000
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 2 << 20
 
 
 def _raw(text: str) -> bytes:
@@ -299,9 +298,10 @@ def cut(raw: bytes, spans: list[int]) -> bytes:
 def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
     """All rows and columns, and the maximal runs of bytes to remove in a column of that name."""
 
-    @F.pandas_udf("array<int>")
-    def runs(spans: pd.Series) -> pd.Series:
-        return spans.map(merged)
+    @F.arrow_udf("array<int>")
+    def runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array((merged(s) for s, in rows_of(batch)), pa.list_(pa.int32()), size=len(batch))
 
     base, spans = repeats(docs)
     spans = spans.select("doc_id", "nth", runs("spans").alias("_spans"))
@@ -349,16 +349,13 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All rows and columns; the text is what is left of it."""
 
-    @F.pandas_udf("string")
-    def left(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                t if t is None or not len(s) else cut(_raw(t), [int(x) for x in s]).decode("utf-8", "replace")
-                for t, s in zip(text, spans, strict=True)
-            ],
-            index=text.index,
-            dtype=object,
-        )
+    @F.arrow_udf("string")
+    def left(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, spans in batches:
+            for at in range(0, len(text), TEXTS_PER_STEP):
+                rows = rows_of(text.slice(at, TEXTS_PER_STEP), spans.slice(at, TEXTS_PER_STEP))
+                cuts = [t if t is None or not s else cut(_raw(t), s).decode("utf-8", "replace") for t, s in rows]
+                yield pa.array(cuts, pa.string())
 
     removed = free_name(docs, "_removed")
     marked = with_spans(docs, removed)
