@@ -289,6 +289,45 @@ def test_recall_against_quadratic_chaining(spark):
         assert have <= want and seeds <= have
 
 
+def test_hot_lines_are_not_compared_pair_by_pair(spark, monkeypatch):
+    r = random.Random(13)
+    fresh = lambda k, n=iter(range(10**6)): [f"u{next(n)}" for _ in range(k)]
+    lines = [fresh(12) for _ in range(8)]
+    rows = []
+    for i in range(240):
+        a, b = r.sample(lines, 2)
+        rows.append((i, fresh(9) + a + fresh(20) + b + fresh(9)))
+    # a passage of hot lines only, of which no first holder has two
+    rows += [(300 + i, fresh(9 + i) + lines[2] + lines[5] + lines[0] + fresh(9)) for i in range(2)]
+    made = []
+
+    def counted(df, name, staged=substring.staged):
+        out = staged(df, name)
+        made.append(out.count() if name == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(substring, "staged", counted)
+    df = documents(spark, [(n, " ".join(w)) for n, w in rows])
+    got = {x.doc_id: x for x in substring.substring_dedup(df).collect()}
+    (p,) = got[301].passages
+    assert (p.start, p.stop, p.source, p.source_start, p.source_stop, p.similarity) == (10, 46, 300, 9, 45, 1.0)
+    assert all(not got[n].passages for n in got if n != 301)
+    assert sum(made) < 5 * len(rows)  # a third of all pairs share a line
+
+
+def test_seeds_beside_those_left_out_are_marked():
+    texts = ["a b c d e f g h i", "x " * 30 + "a b c d e", "p q " * 20]
+    text, key, place = substring.seeds(texts)
+    same = substring.marked_seeds(texts)
+    assert (text == same[0]).all() and (key == same[1]).all() and (place == same[2] >> 2).all()
+    for i, t in enumerate(texts):
+        kept = set(place[text == i].tolist())
+        last = len(t.split()) - 5
+        for x, m in zip(place[text == i].tolist(), (same[2][text == i] & 3).tolist(), strict=True):
+            assert m == (x > 0 and x - 1 not in kept) + 2 * (x < last and x + 1 not in kept)
+    assert (same[2] & 3).any()
+
+
 def test_chains_against_all_orders():
     for seed in range(150):
         r = random.Random(seed)
