@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rewardtables.llm import embedding, minhash
@@ -94,6 +97,89 @@ def test_embeddings(spark, monkeypatch):
     assert same >= 0.99 * len(low)
 
 
+def test_a_round_of_embeddings_moves_each_vector_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(embedding, "ROUND_BYTES", 1, raising=False)  # a turn is a round
+    monkeypatch.setattr(embedding, "CELL", 5)
+    compare, write = embedding._compare, embedding.staged
+
+    def counting(*args):
+        inner = compare(*args)
+
+        def counted(block):
+            n = sum(block.column("n").to_pylist()) if "n" in block.column_names else len(block)
+            (tmp_path / uuid.uuid4().hex).write_text(str(n))
+            return inner(block)
+
+        return counted
+
+    moved = []
+
+    def staged(df, name):
+        before = set(tmp_path.iterdir())
+        out = write(df, name)
+        if name == "vector-links":
+            moved.append(sum(int(f.read_text()) for f in set(tmp_path.iterdir()) - before))
+        return out
+
+    monkeypatch.setattr(embedding, "_compare", counting)
+    monkeypatch.setattr(embedding, "staged", staged)
+    vectors = clusters(1500, 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    assert embedding.embedding_dedup(df).count() == len(vectors)
+    assert 0 < max(moved) <= len(vectors)
+
+
+def test_embeddings_of_large_cells_are_compared_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "BLOCK", 30)
+    monkeypatch.setattr(embedding, "EVEN", 0.1)
+    monkeypatch.setattr(embedding, "CELL", 10)
+    monkeypatch.setattr(embedding, "PACK", 50)
+    rows = [(i, v.tolist(), 0, "x") for i, v in enumerate(clusters())]
+    got, counts, low = check_vectors(spark, rows)
+    assert sum(got[i].n_links == counts[i] for i in counts) >= 0.98 * len(counts)
+    assert sum(got[i].component_id == low[i] for i in low) >= 0.99 * len(low)
+
+
+def test_cells_of_embeddings_of_any_size(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = embedding.units(np.concatenate([clusters(700, 24), rng.normal(size=(300, 24))]))
+    monkeypatch.setattr(embedding, "CELL", 40)
+    books = embedding.Codebooks(x, len(x), 0.9)
+    keys = rng.integers(0, 256, (len(x), 16)).astype("u1")
+    codes = books.codes(x).astype("<i2")
+    pack = embedding.Pack(x.shape[1] * 8, keys, np.ones((len(x), 1), np.int64), x.view("u1").reshape(len(x), -1), codes)
+    batch = pa.RecordBatch.from_pylist([pack.row()], schema=embedding.arrow(embedding._PACK))
+    want = (x @ x.T >= 0.9).sum(1) - 1
+    every = {(pack.size, t, c): 3 for t in range(codes.shape[1]) for c in range(codes.max() + 1)}
+    for small, tile, parts in ((96, 256, {}), (8, 16, {}), (8, 16, every)):
+        monkeypatch.setattr(embedding, "SMALL", small)
+        monkeypatch.setattr(embedding, "TILE", tile)
+        groups = {}
+        for out in embedding._deal(range(100), parts)([batch]):
+            for r in out.to_pylist():
+                groups.setdefault(tuple(r[c] for c in ("turn", "cell", "one", "other")), []).append(r)
+        counts = dict.fromkeys(map(bytes, keys), 0)
+        for rows in groups.values():
+            block = pa.Table.from_pylist(rows, schema=embedding.arrow(embedding._DEALT))
+            for r in embedding._compare(0.9)(block).to_pylist():
+                counts[r["key"]] += r["links"]
+        assert 0.99 * want.sum() <= sum(counts.values())
+        assert all(counts[bytes(k)] <= n for k, n in zip(keys, want, strict=True))
+
+
+def test_cosines_at_the_threshold_are_worked_out_in_double_precision(spark):
+    rng = np.random.default_rng(5)
+    x = embedding.units(rng.normal(size=(200, 32)))
+    y = rng.normal(size=x.shape)
+    y = embedding.units(y - (x * y).sum(1)[:, None] * x)
+    cosine = 0.9 + np.tile([1e-9, -1e-9], 100)[:, None]
+    near = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * y])
+    rows = [(i, v.tolist(), 0, "x") for i, v in enumerate(near)]
+    got, counts, _ = check_vectors(spark, rows)
+    assert sum(counts.values()) == 200
+    assert {i: r.n_links for i, r in got.items()} == counts
+
+
 def test_embeddings_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding.embedding_dedup(df).collect() == []
